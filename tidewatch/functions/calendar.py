@@ -30,5 +30,4 @@ def epoch_micros(ts: Column) -> Column:
 
 def time_slice(ts: Column, seconds: int) -> Column:
     """Number of the `seconds`-wide slice that `ts` falls into."""
-    secs = epoch_seconds(ts)
-    return (secs - F.pmod(secs, F.lit(seconds))) / F.lit(seconds)
+    return F.floor(epoch_seconds(ts) / F.lit(seconds))

@@ -17,7 +17,7 @@ def haversine_nm(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_dlat = F.sin(F.radians(lat2 - lat1) / 2.0)
     half_dlon = F.sin(F.radians(lon2 - lon1) / 2.0)
     h = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
-    h = F.least(h, F.lit(1.0))
+    h = F.when(h > 1.0, F.lit(1.0)).otherwise(h)
     return F.lit(2.0 * EARTH_RADIUS_NM) * F.atan2(F.sqrt(h), F.sqrt(F.lit(1.0) - h))
 
 
@@ -149,7 +149,7 @@ def wrap_degrees(diff: Column) -> Column:
 
 
 def minutes_to_closest(dx: Column, dy: Column, dvx: Column, dvy: Column) -> Column:
-    """Minutes until two ships are closest; 0 when they draw apart, NULL when they hold station."""
+    """Minutes until two ships are closest; 0 when they draw apart or hold station."""
     closing = -(dx * dvx + dy * dvy)
     speed_sq = dvx * dvx + dvy * dvy
     return F.greatest(F.try_divide(closing * 60.0, speed_sq), F.lit(0.0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -208,29 +209,31 @@ def with_features(rows: DataFrame, profile: CleanProfile = STREAM) -> DataFrame:
     )
 
 
-def clean(parsed: DataFrame, profile: CleanProfile = STREAM) -> tuple[DataFrame, DataFrame]:
-    """Cleaned pings and rejects of a bounded table of parsed rows."""
+def clean(
+    parsed: DataFrame, profile: CleanProfile = STREAM, order: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Cleaned pings and rejects of a bounded table of parsed rows; `order` decides between duplicates."""
     classified = classify(parsed, profile)
-    good = dedup(accepted(classified), profile.dedup_keys)
+    good = dedup(accepted(classified), profile.dedup_keys, order)
     if profile.recovers_info:
         good = good.withColumn("IMO", known_imo(F.col("IMO"), profile))
-        good = recover_vessel_info(good)
+        good = recover_vessel_info(good, order=order)
     return with_features(with_defaults(good, profile), profile), rejects(classified)
 
 
-def clean_legacy(rows: DataFrame, run_date: str) -> DataFrame:
+def clean_legacy(rows: DataFrame, run_date: str, order: Sequence[str] | None = None) -> DataFrame:
     """The older CSV form: lower-case columns, complete and in range, one row per (mmsi, timestamp)."""
     good = rows.dropna(subset=["mmsi", "lat", "lon", "sog"]).filter(
         geo.valid_position(F.col("lat"), F.col("lon")) & (F.col("sog") >= 0.0)
     )
     return (
-        dedup(good, ["mmsi", "timestamp"])
+        dedup(good, ["mmsi", "timestamp"], order)
         .withColumn("speed_kmh", geo.speed_kmh(F.col("sog")))
         .withColumn("run_date", F.lit(run_date))
     )
 
 
-def clean_minimal(parsed: DataFrame) -> DataFrame:
+def clean_minimal(parsed: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """The short batch form: typed, complete, in range, not moving backwards, deduplicated, km/h rounded."""
     casts = {f: text.as_double(F.col(f)) for f in DOUBLE_FIELDS if f in parsed.columns}
     casts |= {f: text.as_int(F.col(f)) for f in INT_FIELDS if f in parsed.columns}
@@ -241,6 +244,6 @@ def clean_minimal(parsed: DataFrame) -> DataFrame:
         .filter(geo.valid_position(F.col("LAT"), F.col("LON")))
         .filter(F.col("SOG").isNull() | (F.col("SOG") >= 0))
     )
-    return dedup(good, ["MMSI", "BaseDateTime", "LAT", "LON"]).withColumn(
+    return dedup(good, ["MMSI", "BaseDateTime", "LAT", "LON"], order).withColumn(
         "speed_kmh", geo.speed_kmh(F.col("SOG"), 2)
     )

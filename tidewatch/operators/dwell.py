@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.calendar import epoch_seconds, time_slice
+from tidewatch.functions.numbers import steady_round
 from tidewatch.operators.spatial import DEFAULT_RADIUS_NM, near_ports
 
 GAP_SECONDS = 7200
@@ -19,7 +20,7 @@ def session_slices(rows: DataFrame, keys: list[str], ts: str, gap_seconds: int =
     batches add up through `merge_slices`.
     """
     return (
-        rows.withColumn("slice", time_slice(F.col(ts), gap_seconds).cast("long"))
+        rows.withColumn("slice", time_slice(F.col(ts), gap_seconds))
         .groupBy(*keys, "slice")
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("pings"))
     )
@@ -93,6 +94,6 @@ def turnaround_by_port_day(dwell: DataFrame) -> DataFrame:
     return dwell.groupBy("kpi_date", "port_id").agg(
         F.count(F.lit(1)).alias("visits"),
         F.countDistinct("mmsi").alias("vessels"),
-        F.round(F.avg("dwell_minutes"), 2).alias("avg_turnaround_minutes"),
-        F.round(F.sum("dwell_minutes") / F.lit(1440.0), 4).alias("avg_berths_used"),
+        steady_round(F.avg("dwell_minutes"), 2).alias("avg_turnaround_minutes"),
+        steady_round(F.sum("dwell_minutes") / F.lit(1440.0), 4).alias("avg_berths_used"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.geo import grid_snap, valid_position
 from tidewatch.functions.labels import vessel_type_label
+from tidewatch.functions.numbers import steady_round
 
 SOG_SENTINEL = 102.2
 ALERT_KNOTS = 20.0
@@ -19,10 +20,10 @@ def fleet_daily_kpis(pings: DataFrame, digits: int = 2) -> DataFrame:
         pings.filter((sog >= 0.0) & (sog < SOG_SENTINEL))
         .groupBy(F.to_date("BaseDateTime").alias("kpi_date"), "VesselType")
         .agg(
-            F.round(F.avg(sog), digits).alias("avg_sog"),
+            steady_round(F.avg(sog), digits).alias("avg_sog"),
             F.round(F.min(sog), digits).alias("min_sog"),
             F.round(F.max(sog), digits).alias("max_sog"),
-            F.round(F.coalesce(F.stddev(sog), F.lit(0.0)), digits).alias("stddev_sog"),
+            steady_round(F.coalesce(F.stddev(sog), F.lit(0.0)), digits).alias("stddev_sog"),
             F.count(F.lit(1)).alias("ping_count"),
         )
         .select(

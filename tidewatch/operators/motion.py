@@ -18,22 +18,23 @@ def movement_distance(pings: DataFrame, tiebreak: list[str], slice_seconds: int
     order = ["BaseDateTime", *tiebreak]
     sliced = pings.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull()).select(
         F.col("MMSI").cast("long").alias("mmsi"), "LAT", "LON", *order,
-        time_slice(F.col("BaseDateTime"), slice_seconds).cast("long").alias("_slice"),
+        time_slice(F.col("BaseDateTime"), slice_seconds).alias("_slice"),
     )
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
-    leg = haversine_nm(F.lag("LAT").over(in_slice), F.lag("LON").over(in_slice), F.col("LAT"), F.col("LON"))
     spot = F.struct("LAT", "LON")
-    slices = sliced.withColumn("_leg", leg).groupBy("mmsi", "_slice").agg(
+    leg = haversine_nm(F.col("_prev.LAT"), F.col("_prev.LON"), F.col("LAT"), F.col("LON"))
+    legs = sliced.withColumn("_prev", F.lag(spot).over(in_slice)).withColumn("_leg", leg)
+    slices = legs.groupBy("mmsi", "_slice").agg(
         F.sum("_leg").alias("_inside"),
         F.count(F.lit(1)).alias("_n"),
         F.min_by(spot, F.struct(*order)).alias("_first"),
         F.max_by(spot, F.struct(*order)).alias("_last"),
     )
     over_slices = Window.partitionBy("mmsi").orderBy("_slice")
-    came_from = F.lag("_last").over(over_slices)
-    bridge = haversine_nm(came_from["LAT"], came_from["LON"], F.col("_first.LAT"), F.col("_first.LON"))
+    bridge = haversine_nm(F.col("_from.LAT"), F.col("_from.LON"), F.col("_first.LAT"), F.col("_first.LON"))
     return (
-        slices.withColumn("_bridge", bridge)
+        slices.withColumn("_from", F.lag("_last").over(over_slices))
+        .withColumn("_bridge", bridge)
         .groupBy("mmsi")
         .agg(
             F.sum("_n").alias("ping_count"),

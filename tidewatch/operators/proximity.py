@@ -22,7 +22,7 @@ def vessel_snapshots(pings: DataFrame, tiebreak: list[str], slice_seconds: int)
     """The newest located ping per vessel and time slice."""
     located = pings.filter(geo.valid_position(F.col("LAT"), F.col("LON"))).select(
         F.col("MMSI").cast("long").alias("mmsi"),
-        time_slice(F.col("BaseDateTime"), slice_seconds).cast("long").alias("slice"),
+        time_slice(F.col("BaseDateTime"), slice_seconds).alias("slice"),
         "BaseDateTime", *tiebreak, "LAT", "LON", "SOG", "COG",
     )
     return last_per_key(located, ["mmsi", "slice"], ["BaseDateTime", *tiebreak])

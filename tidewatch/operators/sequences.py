@@ -29,7 +29,7 @@ def with_previous(
     """
     keys = list(keys)
     order = [ts, *tiebreak]
-    sliced = rows.withColumn("_slice", time_slice(F.col(ts), slice_seconds).cast("long"))
+    sliced = rows.withColumn("_slice", time_slice(F.col(ts), slice_seconds))
     carried = F.struct(*carry)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
     tagged = sliced.withColumn("_before", F.lag(carried).over(in_slice))

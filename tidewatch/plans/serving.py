@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import labels
 from tidewatch.functions.geo import wkt_point
+from tidewatch.functions.numbers import steady_round
 from tidewatch.operators import orderstats
 
-ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _count_if(flag: str) -> Column:
@@ -23,7 +25,7 @@ def _on(rows: DataFrame, day: str | None, column: str = "kpi_date") -> DataFrame
 
 
 def _pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(F.lit(100.0) * part / whole, digits)
+    return steady_round(F.lit(100.0) * part / whole, digits)
 
 
 # --- port visits ---------------------------------------------------------------------------------
@@ -31,8 +33,8 @@ def _pct(part: Column, whole: Column, digits: int = 2) -> Column:
 def busiest_ports(dwell: DataFrame, day: str, n: int = 5) -> DataFrame:
     return (
         _on(dwell, day).groupBy("port_id").agg(
-            ROWS.alias("total_visits"),
-            F.round(F.avg("dwell_minutes"), 1).alias("avg_dwell_minutes"),
+            _rows().alias("total_visits"),
+            steady_round(F.avg("dwell_minutes"), 1).alias("avg_dwell_minutes"),
             F.round(F.max("dwell_minutes"), 1).alias("max_dwell_minutes"),
         )
         .orderBy(F.desc("total_visits"), "port_id").limit(n)
@@ -42,7 +44,7 @@ def busiest_ports(dwell: DataFrame, day: str, n: int = 5) -> DataFrame:
 def dwell_events_by_port(dwell: DataFrame, day: str) -> DataFrame:
     return (
         _on(dwell, day).groupBy("kpi_date", "port_id").agg(
-            ROWS.alias("completed_dwell_events"), F.round(F.avg("dwell_minutes"), 1).alias("avg_dwell_mins")
+            _rows().alias("completed_dwell_events"), steady_round(F.avg("dwell_minutes"), 1).alias("avg_dwell_mins")
         )
         .orderBy(F.desc("completed_dwell_events"), "port_id")
     )
@@ -51,7 +53,7 @@ def dwell_events_by_port(dwell: DataFrame, day: str) -> DataFrame:
 def dwell_by_port(dwell: DataFrame, n: int = 20) -> DataFrame:
     return (
         dwell.groupBy("port_id").agg(
-            F.round(F.avg("dwell_minutes"), 1).alias("avg_dwell_mins"), ROWS.alias("dwell_events")
+            steady_round(F.avg("dwell_minutes"), 1).alias("avg_dwell_mins"), _rows().alias("dwell_events")
         )
         .orderBy(F.desc("avg_dwell_mins"), "port_id").limit(n)
     )
@@ -85,7 +87,7 @@ def speed_by_type(fleet: DataFrame, n: int = 50) -> DataFrame:
     return (
         fleet.groupBy("vessel_type").agg(
             F.sum("ping_count").alias("total_pings"),
-            F.round(F.avg("avg_sog"), 2).alias("avg_speed_kts"),
+            steady_round(F.avg("avg_sog"), 2).alias("avg_speed_kts"),
             F.max("max_sog").alias("max_speed_kts"),
         )
         .orderBy(F.desc("total_pings"), "vessel_type").limit(n)
@@ -106,7 +108,7 @@ def active_vessels(state: DataFrame) -> DataFrame:
 
 
 def fleet_size(state: DataFrame) -> DataFrame:
-    return state.agg(ROWS.alias("fleet_rows"))
+    return state.agg(_rows().alias("fleet_rows"))
 
 
 def vessel_roster(state: DataFrame, n: int = 100) -> DataFrame:
@@ -121,7 +123,7 @@ def latest_updates(state: DataFrame, n: int = 10) -> DataFrame:
 
 
 def violation_count(alerts: DataFrame) -> DataFrame:
-    return alerts.agg(ROWS.alias("speed_violations"))
+    return alerts.agg(_rows().alias("speed_violations"))
 
 
 def alert_log(alerts: DataFrame, n: int = 100) -> DataFrame:
@@ -136,10 +138,10 @@ def alert_log(alerts: DataFrame, n: int = 100) -> DataFrame:
 def cluster_summary(clusters: DataFrame, day: str | None = None) -> DataFrame:
     return (
         _on(clusters, day).groupBy("cluster_id").agg(
-            ROWS.alias("total_vessels"),
+            _rows().alias("total_vessels"),
             _count_if("is_anomaly").alias("anomaly_count"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_distance"),
+            steady_round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
+            steady_round(F.avg("distance_to_centroid"), 4).alias("avg_distance"),
         )
         .orderBy("cluster_id")
     )
@@ -172,9 +174,9 @@ def anomalies_with_names(clusters: DataFrame, state: DataFrame, day: str, n: int
 def cluster_geometry(clusters: DataFrame, day: str) -> DataFrame:
     return (
         _on(clusters, day).groupBy("kpi_date", "cluster_id").agg(
-            ROWS.alias("vessel_count"),
+            _rows().alias("vessel_count"),
             _count_if("is_anomaly").alias("anomalies_flagged"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog_kts"),
+            steady_round(F.avg("sog_knots"), 2).alias("avg_sog_kts"),
             F.count("point").alias("valid_points"),
         )
         .orderBy("cluster_id")
@@ -187,7 +189,7 @@ def flagged_anomalies(clusters: DataFrame) -> DataFrame:
 
 def vessels_per_cluster(clusters: DataFrame, n: int = 10) -> DataFrame:
     return (
-        clusters.groupBy("cluster_id").agg(ROWS.alias("vessel_count"))
+        clusters.groupBy("cluster_id").agg(_rows().alias("vessel_count"))
         .orderBy(F.desc("vessel_count"), "cluster_id").limit(n)
     )
 
@@ -195,10 +197,10 @@ def vessels_per_cluster(clusters: DataFrame, n: int = 10) -> DataFrame:
 def cluster_behaviour(clusters: DataFrame, n: int = 10) -> DataFrame:
     return (
         clusters.groupBy("cluster_id").agg(
-            ROWS.alias("vessels"),
+            _rows().alias("vessels"),
             _count_if("is_anomaly").alias("anomalies_flagged"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_speed_kts"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_centroid_dist"),
+            steady_round(F.avg("sog_knots"), 2).alias("avg_speed_kts"),
+            steady_round(F.avg("distance_to_centroid"), 4).alias("avg_centroid_dist"),
         )
         .orderBy("cluster_id").limit(n)
     )
@@ -206,14 +208,14 @@ def cluster_behaviour(clusters: DataFrame, n: int = 10) -> DataFrame:
 
 def cluster_label_counts(clusters: DataFrame) -> DataFrame:
     return (
-        clusters.groupBy("cluster_id").agg(ROWS.alias("vessel_count")).orderBy("cluster_id")
+        clusters.groupBy("cluster_id").agg(_rows().alias("vessel_count")).orderBy("cluster_id")
         .select(labels.cluster_label(F.col("cluster_id")).alias("cluster_label"), "vessel_count")
     )
 
 
 def anomaly_split(clusters: DataFrame) -> DataFrame:
     return (
-        clusters.groupBy("is_anomaly").agg(ROWS.alias("vessel_count")).orderBy(F.desc("is_anomaly"))
+        clusters.groupBy("is_anomaly").agg(_rows().alias("vessel_count")).orderBy(F.desc("is_anomaly"))
         .select(labels.fleet_status(F.col("is_anomaly")).alias("fleet_status"), "vessel_count")
     )
 
@@ -221,7 +223,7 @@ def anomaly_split(clusters: DataFrame) -> DataFrame:
 def cluster_anomaly_pct(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("cluster_id").agg(
-            ROWS.alias("total_fleet"),
+            _rows().alias("total_fleet"),
             F.count_if(~F.col("is_anomaly")).alias("normal_vessels"),
             _count_if("is_anomaly").alias("anomalous_vessels"),
         )
@@ -237,9 +239,9 @@ def cluster_anomaly_pct(clusters: DataFrame) -> DataFrame:
 def cluster_averages(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("cluster_id").agg(
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
-            F.round(F.avg("cog_degrees"), 1).alias("avg_cog_degrees"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_distance_to_centroid"),
+            steady_round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
+            steady_round(F.avg("cog_degrees"), 1).alias("avg_cog_degrees"),
+            steady_round(F.avg("distance_to_centroid"), 4).alias("avg_distance_to_centroid"),
         )
         .orderBy("cluster_id")
         .select(
@@ -252,7 +254,7 @@ def cluster_averages(clusters: DataFrame) -> DataFrame:
 def anomaly_trend(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("kpi_date").agg(
-            ROWS.alias("total_active_vessels"), _count_if("is_anomaly").alias("anomalous_vessels")
+            _rows().alias("total_active_vessels"), _count_if("is_anomaly").alias("anomalous_vessels")
         )
         .orderBy("kpi_date")
         .select(
@@ -287,12 +289,12 @@ def cluster_report(clusters: DataFrame) -> DataFrame:
     The window without a key runs over one row per cluster, whose number is the k of the model.
     """
     per_cluster = clusters.groupBy("cluster_id").agg(
-        ROWS.alias("vessel_count"),
+        _rows().alias("vessel_count"),
         _count_if("is_anomaly").alias("anomaly_count"),
-        F.round(F.avg("sog_knots"), 2).alias("avg_sog"),
+        steady_round(F.avg("sog_knots"), 2).alias("avg_sog"),
         F.round(F.min("sog_knots"), 2).alias("min_sog"),
         F.round(F.max("sog_knots"), 2).alias("max_sog"),
-        F.round(F.avg("distance_to_centroid"), 4).alias("avg_dist"),
+        steady_round(F.avg("distance_to_centroid"), 4).alias("avg_dist"),
         F.round(F.max("distance_to_centroid"), 4).alias("max_dist"),
     )
     fleet = F.sum("vessel_count").over(Window.partitionBy(F.lit(0)))
@@ -305,7 +307,7 @@ def cluster_report(clusters: DataFrame) -> DataFrame:
 
 def cluster_totals(clusters: DataFrame) -> DataFrame:
     return clusters.agg(
-        ROWS.alias("total_rows"),
+        _rows().alias("total_rows"),
         F.countDistinct("mmsi").alias("unique_vessels"),
         F.countDistinct("kpi_date").alias("num_dates"),
         F.min("kpi_date").alias("first_date"),
@@ -342,11 +344,11 @@ def distance_histogram(clusters: DataFrame, bins: int = 30) -> DataFrame:
 def cluster_matrix(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("cluster_id").agg(
-            ROWS.alias("fleet_count"),
+            _rows().alias("fleet_count"),
             _count_if("is_anomaly").alias("anomaly_count"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
-            F.round(F.avg("cog_degrees"), 1).alias("avg_cog_degrees"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_distance"),
+            steady_round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
+            steady_round(F.avg("cog_degrees"), 1).alias("avg_cog_degrees"),
+            steady_round(F.avg("distance_to_centroid"), 4).alias("avg_distance"),
             F.round(F.max("distance_to_centroid"), 4).alias("max_distance"),
             F.count("point").alias("vessels_with_geom"),
         )
