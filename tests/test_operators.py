@@ -144,12 +144,12 @@ def test_latest_state_and_guarded_merge(spark):
     assert rows(stale, "mmsi") == [(1,)]
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 60, 100_000])
-def test_previous_row_is_the_same_for_any_slice(spark, slice_seconds):
+@pytest.mark.parametrize("slice_seconds, max_rows", [(1, 1000), (60, 2), (100_000, 20)])
+def test_previous_row_is_the_same_for_any_slice(spark, slice_seconds, max_rows):
     rng = random.Random(1)
     data = [(rng.choice([1, 1, 1, 2]), rng.randrange(2000), float(i), 0.0, 1.0, 0.0) for i in range(300)]
     df = pings(spark, data)
-    got = sequences.with_previous(df, ["MMSI"], "BaseDateTime", ["LAT"], ["event_id"], slice_seconds=slice_seconds)
+    got = sequences.with_previous(df, ["MMSI"], "BaseDateTime", ["LAT"], ["event_id"], slice_seconds=slice_seconds, max_rows=max_rows)
     want, last = [], {}
     for i, (m, s, la, *_) in sorted(enumerate(data), key=lambda x: (x[1][1], x[0])):
         want.append((i, last.get(m)))
@@ -161,13 +161,28 @@ def test_previous_row_is_the_same_for_any_slice(spark, slice_seconds):
 def test_movement_distance(spark, slice_seconds):
     rng = random.Random(2)
     data = [(rng.choice([1, 2]), s * 3, rng.uniform(-1, 1), rng.uniform(179, 181) - 180, 1.0, 0.0) for s in range(100)]
-    got = {r["mmsi"]: r for r in motion.movement_distance(pings(spark, data), ["event_id"], slice_seconds).collect()}
+    got = {r["mmsi"]: r for r in motion.movement_distance(pings(spark, data), ["event_id"], slice_seconds=slice_seconds, max_rows=9).collect()}
     for m in (1, 2):
         track = [(la, lo) for mm, _, la, lo, *_ in data if mm == m]
         want = sum(haversine(*a, *b) for a, b in zip(track, track[1:]))
         assert got[m]["distance_nm"] == pytest.approx(want) and got[m]["ping_count"] == len(track)
 
 
+def test_full_slices_are_cut_until_they_fit(spark):
+    data = [(1, s, 0.0, 0.0, 1.0, 0.0) for s in [*range(200), *[50] * 30, 9000]]
+    sliced = sequences.with_slices(pings(spark, data), ["MMSI"], "BaseDateTime", slice_seconds=7200, max_rows=8)
+    found = sliced.groupBy("_slice").agg(F.count("*").alias("n"), F.countDistinct("BaseDateTime").alias("instants"))
+    sizes = [(r["n"], r["instants"]) for r in found.collect()]
+    assert all(n <= 8 or instants == 1 for n, instants in sizes)
+    assert sliced.count() == len(data)
+
+
+def test_lookup_size_counts_bytes_too(spark):
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    assert lookup.fits_broadcast(wide) and not lookup.fits_broadcast(wide, max_bytes=5000)
+    assert not lookup.fits_broadcast(wide, max_rows=9) and lookup.fits_broadcast(wide.limit(0))
+
+
 def test_sliding_acceleration(spark):
     got = motion.sliding_acceleration(pings(spark, [(1, 0, 0.0, 0.0, 10.0, 0.0), (1, 60, 0.0, 0.0, 16.0, 0.0), (1, 61, 0.0, 0.0, None, 0.0)]))
     assert got.count() == 4 and {round(r["acceleration"], 6) for r in got.collect()} == {0.1}

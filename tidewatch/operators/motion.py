@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.calendar import epoch_micros, time_slice
+from tidewatch.functions.calendar import epoch_micros
 from tidewatch.functions.geo import haversine_nm
-from tidewatch.operators.sequences import SLICE_SECONDS
+from tidewatch.operators.sequences import with_slices
 
 
-def movement_distance(pings: DataFrame, tiebreak: list[str], slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+def movement_distance(pings: DataFrame, tiebreak: list[str], **slicing) -> DataFrame:
     """Nautical miles per vessel along its pings in time order.
 
     Legs inside a time slice are summed per (vessel, slice); the legs between slices need only the ends.
     """
     order = ["BaseDateTime", *tiebreak]
-    sliced = pings.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull()).select(
-        F.col("MMSI").cast("long").alias("mmsi"), "LAT", "LON", *order,
-        time_slice(F.col("BaseDateTime"), slice_seconds).alias("_slice"),
+    located = pings.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull()).select(
+        F.col("MMSI").cast("long").alias("mmsi"), "LAT", "LON", *order
     )
+    sliced = with_slices(located, ["mmsi"], "BaseDateTime", **slicing)
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
     spot = F.struct("LAT", "LON")
     leg = haversine_nm(F.col("_prev.LAT"), F.col("_prev.LON"), F.col("LAT"), F.col("LON"))

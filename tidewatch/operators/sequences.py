@@ -7,9 +7,52 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.calendar import time_slice
+from tidewatch.functions.calendar import epoch_micros
+from tidewatch.operators.lookup import join_lookup
+from tidewatch.session import materialize
 
 SLICE_SECONDS = 3600
+SLICE_ROWS = 1_000_000
+
+
+def with_slices(
+    rows: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    *,
+    slice_seconds: int = SLICE_SECONDS,
+    max_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Add `_slice`, the start of a time slice that holds at most about `max_rows` rows of its key.
+
+    Slices start out equally wide. Those that are too full are cut into narrower parts of the time they
+    really cover, again until all fit or hold a single instant. Each round is one pass that counts rows
+    per slice, combined before its shuffle; with few rows per key and slice there is one round.
+    """
+    keys = list(keys)
+    at = epoch_micros(F.col(ts))
+    sliced = rows.withColumn("_slice", at - F.pmod(at, F.lit(slice_seconds * 1_000_000)))
+    while True:
+        parts = F.ceil(F.col("_n") * F.lit(2.0) / F.lit(max_rows))
+        full = materialize(
+            sliced.groupBy(*keys, "_slice")
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_from"), F.max(at).alias("_to"))
+            .filter((F.col("_n") > max_rows) & (F.col("_to") > F.col("_from")))
+            .select(
+                *keys, "_slice", "_from",
+                F.greatest(F.floor((F.col("_to") - F.col("_from")) / parts), F.lit(1)).cast("long").alias("_width"),
+            ),
+            "full-slices",
+        )
+        if full.isEmpty():
+            return sliced
+        offset = at - F.col("_from")
+        cut = F.col("_from") + offset - F.pmod(offset, F.col("_width"))
+        sliced = (
+            join_lookup(sliced, full, [*keys, "_slice"], "left")
+            .withColumn("_slice", F.coalesce(cut, F.col("_slice")))
+            .drop("_from", "_width")
+        )
 
 
 def with_previous(
@@ -20,7 +63,7 @@ def with_previous(
     tiebreak: Sequence[str] = (),
     *,
     out: str = "prev",
-    slice_seconds: int = SLICE_SECONDS,
+    **slicing,
 ) -> DataFrame:
     """Add struct `out` with the `carry` columns of the preceding row of the same key, NULL on the first.
 
@@ -29,7 +72,7 @@ def with_previous(
     """
     keys = list(keys)
     order = [ts, *tiebreak]
-    sliced = rows.withColumn("_slice", time_slice(F.col(ts), slice_seconds))
+    sliced = with_slices(rows, keys, ts, **slicing)
     carried = F.struct(*carry)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
     tagged = sliced.withColumn("_before", F.lag(carried).over(in_slice))

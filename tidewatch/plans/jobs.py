@@ -14,6 +14,7 @@ from tidewatch import schemas
 from tidewatch.operators import checks, cleaning, clustering, dwell, kpis
 from tidewatch.sinks import tables
 from tidewatch.sinks.kafka import publish
+from tidewatch.session import drop_scratch
 from tidewatch.sources import files, pings, reference
 from tidewatch.streaming.cleaning import clean_streams
 from tidewatch.streaming.fanout import FanOut, await_all, start_fan_out, start_fused
@@ -157,6 +158,13 @@ def main(argv: list[str] | None = None) -> None:
 
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidewatch-{args.job}").getOrCreate()
+    try:
+        run(spark, args)
+    finally:
+        drop_scratch(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "daily-kpis":
         ports = reference.jdbc_ports(spark, args.ports_url, {}) if args.ports_url else None
         print(json.dumps(daily_kpis(
@@ -177,7 +185,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "clean-history":
         messages = pings.kafka_batch(spark, args.servers, args.topic) if args.servers else pings.replay_batch(spark, args.messages)
         clean_history(messages.select("value"), args.out, args.rejects)
-    else:
+    elif args.job == "stream":
         messages = (
             pings.kafka_stream(spark, args.servers, args.topic, args.max_offsets)
             if args.servers else pings.replay_stream(spark, args.messages)
@@ -186,5 +194,6 @@ def main(argv: list[str] | None = None) -> None:
         await_all(start(clean_streams(messages), FanOut(args.out, alert_servers=args.servers), args.live_seconds))
 
 
+
 if __name__ == "__main__":
     main()

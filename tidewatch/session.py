@@ -35,9 +35,19 @@ def scratch_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def scratch_home(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tidewatch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; for the end of a job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
