@@ -14,11 +14,10 @@ KMH_PER_KNOT = 1.852
 
 def haversine_nm(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in nautical miles."""
-    half_dlat = F.sin(F.radians(lat2 - lat1) / 2.0)
-    half_dlon = F.sin(F.radians(lon2 - lon1) / 2.0)
-    h = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
-    h = F.when(h > 1.0, F.lit(1.0)).otherwise(h)
-    return F.lit(2.0 * EARTH_RADIUS_NM) * F.atan2(F.sqrt(h), F.sqrt(F.lit(1.0) - h))
+    h = F.pow(F.sin(F.radians(lat2 - lat1) / 2.0), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(
+        F.radians(lat2)
+    ) * F.pow(F.sin(F.radians(lon2 - lon1) / 2.0), F.lit(2.0))
+    return F.lit(2.0 * EARTH_RADIUS_NM) * F.atan2(F.sqrt(h), F.sqrt(F.abs(F.lit(1.0) - h)))
 
 
 def speed_kmh(knots: Column, digits: int | None = None) -> Column:

@@ -13,9 +13,11 @@ from tidewatch.functions import geo, text
 from tidewatch.functions.calendar import calendar_columns
 from tidewatch.operators.dedup import dedup
 from tidewatch.operators.enrich import recover_vessel_info
+from tidewatch.operators.shape import computed_once
 from tidewatch.schemas import (
     CALENDAR_FIELDS, CORRUPT, DOUBLE_FIELDS, INT_FIELDS, RAW_FIELDS, RAW_SCHEMA_WITH_CORRUPT, TEXT_FIELDS,
 )
+from tidewatch.session import materialize
 
 HEADER = "HEADER"
 JSON_CORRUPT = "JSON_CORRUPT"
@@ -81,21 +83,21 @@ def classify(parsed: DataFrame, profile: CleanProfile = STREAM) -> DataFrame:
     typed: dict[str, Column] = {}
     for field in raw:
         if field == "MMSI":
-            typed[field] = F.when(clean[field].rlike(MMSI_PATTERN), clean[field].try_cast("long"))
+            typed[field] = F.when(F.trim(raw[field]).rlike(MMSI_PATTERN), raw[field].try_cast("long"))
         elif field == "BaseDateTime":
-            typed[field] = text.as_timestamp(clean[field], profile.time_pattern)
+            typed[field] = text.as_timestamp(F.trim(raw[field]), profile.time_pattern)
         elif field in DOUBLE_FIELDS:
-            typed[field] = without_sentinel(field, text.as_double(clean[field]))
+            typed[field] = without_sentinel(field, text.as_double(raw[field]))
         elif field in INT_FIELDS:
-            typed[field] = text.as_int(clean[field])
+            typed[field] = text.as_int(raw[field])
         else:
             typed[field] = clean[field]
 
-    staged = parsed.select(
+    staged = computed_once(parsed.select(
         *others,
         *[c.alias(f) for f, c in typed.items()],
         *[c.alias(f"raw_{f}") for f, c in raw.items()],
-    )
+    ))
     return staged.withColumn("reject_reason", reject_reason(staged, profile))
 
 
@@ -216,7 +218,8 @@ def clean(
     classified = classify(parsed, profile)
     good = dedup(accepted(classified), profile.dedup_keys, order)
     if profile.recovers_info:
-        good = good.withColumn("IMO", known_imo(F.col("IMO"), profile))
+        # Read twice below: once per vessel and once per row.
+        good = materialize(good.withColumn("IMO", known_imo(F.col("IMO"), profile)), "deduplicated")
         good = recover_vessel_info(good, order=order)
     return with_features(with_defaults(good, profile), profile), rejects(classified)
 
@@ -239,7 +242,7 @@ def clean_minimal(parsed: DataFrame, order: Sequence[str] | None = None) -> Data
     casts |= {f: text.as_int(F.col(f)) for f in INT_FIELDS if f in parsed.columns}
     casts["BaseDateTime"] = text.as_timestamp(F.col("BaseDateTime"))
     good = (
-        parsed.withColumns(casts)
+        computed_once(parsed.withColumns(casts))
         .dropna(subset=["MMSI", "BaseDateTime", "LAT", "LON"])
         .filter(geo.valid_position(F.col("LAT"), F.col("LON")))
         .filter(F.col("SOG").isNull() | (F.col("SOG") >= 0))

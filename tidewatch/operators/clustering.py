@@ -16,6 +16,7 @@ from tidewatch.functions.vectors import nearest, squared_distances
 from tidewatch.operators.dedup import last_per_key
 from tidewatch.operators.lookup import join_lookup
 from tidewatch.operators.orderstats import exact_percentile
+from tidewatch.operators.shape import computed_once
 from tidewatch.session import materialize
 
 FEATURES = ("sog_knots", "cog_degrees", "lat", "lon")
@@ -84,7 +85,7 @@ def centres_of(model: PipelineModel, inputs: Sequence[str] = FEATURES) -> Centre
 def assign(features: DataFrame, centres: Centres) -> DataFrame:
     """Add `cluster_id` and `distance_to_centroid`, computed on plain columns in generated code."""
     measured = features.withColumn("_squares", squared_distances(centres.parts(), centres.points))
-    return (
+    return computed_once(
         measured.withColumn("cluster_id", nearest(F.col("_squares")))
         .withColumn("distance_to_centroid", F.sqrt(F.array_min("_squares")))
         .drop("_squares")

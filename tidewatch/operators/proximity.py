@@ -12,6 +12,7 @@ from tidewatch.functions.calendar import time_slice
 from tidewatch.functions.labels import congestion_risk
 from tidewatch.operators.dedup import last_per_key
 from tidewatch.operators.lookup import join_lookup
+from tidewatch.operators.shape import computed_once
 from tidewatch.operators.spatial import DEFAULT_RADIUS_NM, near_ports
 from tidewatch.session import materialize
 
@@ -87,21 +88,26 @@ def collision_pairs(
         .select(*cell, F.ceil(F.col("_ships") / F.lit(float(crowded_cell))).cast("int").alias("_parts")),
         "crowds",
     )
-    parts = F.coalesce("_parts", F.lit(1))
-    left = join_lookup(left, crowds, cell, "left").withColumn(
-        "_part", F.pmod(F.xxhash64("mmsi"), parts).cast("int")
-    )
-    right = join_lookup(right, crowds, cell, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
+    left, right = _dealt_out(left, right, crowds, cell)
 
     a = left.select(*cell, "_part", F.struct("mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime").alias("a"))
     b = right.select(*cell, "_part", F.struct("mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime").alias("b"))
-    pairs = a.join(b, [*cell, "_part"]).filter(F.col("a.mmsi") < F.col("b.mmsi"))
-
+    pairs = a.join(b, [*cell, "_part"]).filter(
+        (F.col("a.mmsi") < F.col("b.mmsi")) & (F.abs(F.col("a.LAT") - F.col("b.LAT")) <= row_deg)
+    )
     distance = geo.haversine_nm(F.col("a.LAT"), F.col("a.LON"), F.col("b.LAT"), F.col("b.LON"))
     near = pairs.withColumn("distance_nm", distance).filter(F.col("distance_nm") < reach)
-    return _rated(near, high_nm, high_minutes, medium_nm, medium_minutes)
+    return _rated(computed_once(near.select("slice", "a", "b", "distance_nm")), high_nm, high_minutes, medium_nm, medium_minutes)
+
+
+def _dealt_out(left: DataFrame, right: DataFrame, crowds: DataFrame, cell: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Spread the left side of crowded cells over parts and repeat the right side in each part."""
+    if crowds.isEmpty():
+        return left.withColumn("_part", F.lit(0)), right.withColumn("_part", F.lit(0))
+    parts = F.coalesce("_parts", F.lit(1))
+    spread = join_lookup(left, crowds, cell, "left").withColumn("_part", F.pmod(F.xxhash64("mmsi"), parts).cast("int"))
+    copies = join_lookup(right, crowds, cell, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return spread, copies
 
 
 def _rated(near: DataFrame, high_nm, high_minutes, medium_nm, medium_minutes) -> DataFrame:
@@ -118,7 +124,7 @@ def _rated(near: DataFrame, high_nm, high_minutes, medium_nm, medium_minutes) ->
     )
     mid_lon = geo.wrap_degrees(a["LON"] + dlon / 2.0)
     return (
-        near.withColumn("cpa_minutes", minutes)
+        computed_once(near.withColumn("cpa_minutes", minutes))
         .withColumn("risk_level", risk)
         .filter("risk_level IS NOT NULL")
         .select(

@@ -370,7 +370,7 @@ SELECT slice, m1 AS vessel_1_mmsi, m2 AS vessel_2_mmsi, round(dist * 1852.0, 3)
  round(mid_lon, 6) AS mid_lon, created_at
 FROM met WHERE minutes < 20""")
 check("port_congestion", ["state"], f"""
-SELECT p.port_id, count(s.mmsi) AS active_vessels_count, round(avg(s.sog_knots), 6) AS avg_speed_knots,
+SELECT p.port_id, count(s.mmsi) AS active_vessels_count, {half_up('avg(s.sog_knots)', 6)} AS avg_speed_knots,
  CASE WHEN count(s.mmsi) >= 15 THEN 'HIGH' WHEN count(s.mmsi) >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS congestion_risk
 FROM ports p LEFT JOIN state s ON {nm('p.port_lat', 'p.port_lon', 's.lat', 's.lon')} <= p.radius_nm
 GROUP BY p.port_id""")

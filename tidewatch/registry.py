@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas
 from tidewatch import surrogates as src
-from tidewatch.functions import calendar, geo, labels, text, vectors
+from tidewatch.functions import calendar, geo, labels, numbers, text, vectors
 from tidewatch.operators import (
     checks, cleaning, clustering, dedup, dwell, enrich, fleet_state, kpis, motion, orderstats, proximity,
     regression, spatial, zones,
@@ -322,7 +322,7 @@ def collision_pairs(spark, d):
 def port_congestion(spark, d):
     latest = fleet_state.latest_pings(src.fleet_pings(spark, d), TIE)
     rows = proximity.port_congestion(latest, schemas.ports(spark))
-    return rows.withColumn("avg_speed_knots", F.round("avg_speed_knots", 6))
+    return rows.withColumn("avg_speed_knots", numbers.steady_round(F.col("avg_speed_knots"), 6))
 
 
 # --- clustering -------------------------------------------------------------------------------------------
