@@ -130,6 +130,11 @@ def test_grid_snap_half_up(spark):
     assert sorted(r[0] for r in halves.collect()) == [-0.5, 0.5, 29.5]
 
 
+def test_density_trend(spark):
+    grid = schemas.inline_rows(spark, [("2024-01-01", 1.0, 2.0, 5), ("2024-01-03", 1.0, 2.0, 9), ("2024-01-02", 1.0, 3.0, 4)], ("kpi_date", "grid_lat", "grid_lon", "ping_count"))
+    assert rows(kpis.density_trend(grid), "ping_count", "change") == [(4, None), (5, None), (9, 4)]
+
+
 # --- state and sequences
 
 def test_latest_state_and_guarded_merge(spark):

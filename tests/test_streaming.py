@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import registry, schemas
 from tidewatch import surrogates as src
-from tidewatch.operators import cleaning, dwell, fleet_state
+from tidewatch.operators import cleaning, dwell, fleet_state, zones
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import write_batch
 from tidewatch.sources import pings as sources
@@ -144,6 +144,31 @@ def test_incremental_dwell_takes_late_pings_in_any_order(spark, tmp_path):
     assert rows(found.read(spark), *columns) == rows(want, *columns)
 
 
+def test_live_geofence_equals_batch_across_batches_and_retries(spark, tmp_path):
+    track = [(31.0, 32.0), (31.25, 32.30), (31.26, 32.31), (31.0, 32.0), (31.25, 32.3), (30.0, 32.55), (31.3, 32.3)]
+    data = [(i, 1 + i % 2, T0 + dt.timedelta(minutes=i // 2), la, lo) for i, (la, lo) in enumerate(p for p in track for _ in (0, 1))]
+    pings_ = spark.createDataFrame(data, "event_id long, MMSI long, BaseDateTime timestamp, LAT double, LON double")
+    live = windows.LiveGeofence(spark, str(tmp_path / "g"), schemas.zones(spark), ["event_id"])
+    for batch_id, (lo, hi) in enumerate(((0, 5), (5, 6), (6, 11), (11, 14))):
+        part = pings_.filter(F.col("event_id").between(lo, hi - 1))
+        live.add(part, batch_id)
+        live.add(part, batch_id)
+    columns = ("mmsi", "zone_id", "event_type", "event_time", "event_id")
+    want = zones.geofence_events(pings_, schemas.zones(spark), ["event_id"])
+    assert rows(spark.read.parquet(live.events), *columns) == rows(want, *columns) and want.count() == 14
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    path = write_messages(spark, str(tmp_path / "in"), [ping(A, 60)], [ping(A, 61)], [ping(A, 30), ping(A, 62)], [ping(A, 5)])
+    cleaned = stream_cleaning.clean_streams(sources.replay_stream(spark, path)).cleaned
+    query = (
+        cleaned.writeStream.format("parquet").option("path", str(tmp_path / "rows"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert windows.late_rows(query) == 2
+
+
 def test_tumbling_stream_in_append_mode_closes_windows(spark, tmp_path, sf_dir):
     stream = windows.tumbling_counts(src.event_stream(spark, sf_dir), "ts", "event_type", "1 hour", watermark="10 minutes")
     got = windows.drain_append(stream, str(tmp_path / "rows"), str(tmp_path / "cp"))

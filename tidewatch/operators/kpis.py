@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.geo import grid_snap, valid_position
@@ -46,6 +46,12 @@ def route_density_grid(pings: DataFrame, cell_deg: float = 0.05) -> DataFrame:
     )
 
 
+def density_trend(grid: DataFrame) -> DataFrame:
+    """Pings per cell and day with the change since the cell's last day with traffic."""
+    by_day = Window.partitionBy("grid_lat", "grid_lon").orderBy("kpi_date")
+    return grid.withColumn("change", F.col("ping_count") - F.lag("ping_count").over(by_day))
+
+
 def speed_alerts(pings: DataFrame, threshold_knots: float = ALERT_KNOTS) -> DataFrame:
     """One row per ping above the threshold, stamped with the time of the ping."""
     return pings.filter(F.col("SOG") > threshold_knots).select(

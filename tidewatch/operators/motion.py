@@ -22,8 +22,10 @@ def movement_distance(pings: DataFrame, tiebreak: list[str], **slicing) -> DataF
     sliced = with_slices(located, ["mmsi"], "BaseDateTime", **slicing)
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
     spot = F.struct("LAT", "LON")
-    leg = haversine_nm(F.col("_prev.LAT"), F.col("_prev.LON"), F.col("LAT"), F.col("LON"))
-    legs = sliced.withColumn("_prev", F.lag(spot).over(in_slice)).withColumn("_leg", leg)
+    before = {"_lat": F.lag("LAT").over(in_slice), "_lon": F.lag("LON").over(in_slice)}
+    legs = sliced.withColumns(before).withColumn(
+        "_leg", haversine_nm(F.col("_lat"), F.col("_lon"), F.col("LAT"), F.col("LON"))
+    )
     slices = legs.groupBy("mmsi", "_slice").agg(
         F.sum("_leg").alias("_inside"),
         F.count(F.lit(1)).alias("_n"),
@@ -43,25 +45,33 @@ def movement_distance(pings: DataFrame, tiebreak: list[str], **slicing) -> DataF
     )
 
 
-def sliding_acceleration(pings: DataFrame, width: str = "5 minutes", step: str = "1 minute") -> DataFrame:
-    """Knots gained per second between the first and last speed of each sliding window and vessel."""
+def sliding_acceleration(pings: DataFrame, step_seconds: int = 60, steps: int = 5) -> DataFrame:
+    """Knots gained per second between the first and last speed of each sliding window and vessel.
+
+    A window is `steps` steps wide and moves by one. Pings shrink to one row per vessel and step before
+    they are repeated for the windows they belong to.
+    """
     at = F.col("BaseDateTime")
-    return (
+    per_step = (
         pings.filter(F.col("SOG").isNotNull())
-        .groupBy(F.col("MMSI").cast("long").alias("mmsi"), F.window(at, width, step).alias("_w"))
+        .groupBy(F.col("MMSI").cast("long").alias("mmsi"), F.window(at, f"{step_seconds} seconds")["start"].alias("_step"))
         .agg(
-            F.min(F.struct(at.alias("at"), F.col("SOG").alias("sog"))).alias("_a"),
-            F.max(F.struct(at.alias("at"), F.col("SOG").alias("sog"))).alias("_b"),
-            F.count(F.lit(1)).alias("ping_count"),
+            F.min(at).alias("_from"), F.min_by("SOG", at).alias("_first"),
+            F.max(at).alias("_to"), F.max_by("SOG", at).alias("_last"), F.count(F.lit(1)).alias("_n"),
         )
-        .filter(F.col("_b.at") > F.col("_a.at"))
-        .select(
-            "mmsi",
-            F.col("_w.start").alias("window_start"),
-            "ping_count",
-            (
-                (F.col("_b.sog") - F.col("_a.sog"))
-                / ((epoch_micros(F.col("_b.at")) - epoch_micros(F.col("_a.at"))) / F.lit(1_000_000.0))
-            ).alias("acceleration"),
+    )
+    back = F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))
+    repeated = per_step.withColumn("_back", back).withColumn(
+        "window_start", F.col("_step") - F.make_dt_interval(secs=F.col("_back") * F.lit(step_seconds))
+    )
+    gained = F.col("last_sog") - F.col("first_sog")
+    seconds = (epoch_micros(F.col("last_at")) - epoch_micros(F.col("first_at"))) / F.lit(1_000_000.0)
+    return (
+        repeated.groupBy("mmsi", "window_start")
+        .agg(
+            F.sum("_n").alias("ping_count"), F.min("_from").alias("first_at"), F.max("_to").alias("last_at"),
+            F.min_by("_first", "_from").alias("first_sog"), F.max_by("_last", "_to").alias("last_sog"),
         )
+        .filter(F.col("last_at") > F.col("first_at"))
+        .select("mmsi", "window_start", "ping_count", (gained / seconds).alias("acceleration"))
     )

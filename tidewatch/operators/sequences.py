@@ -73,11 +73,11 @@ def with_previous(
     keys = list(keys)
     order = [ts, *tiebreak]
     sliced = with_slices(rows, keys, ts, **slicing)
-    carried = F.struct(*carry)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    tagged = sliced.withColumn("_before", F.lag(carried).over(in_slice))
+    before = F.struct(*[F.lag(c).over(in_slice).alias(c) for c in carry])
+    tagged = sliced.withColumn("_before", F.when(F.lag(F.lit(1)).over(in_slice).isNotNull(), before))
 
-    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(carried, F.struct(*order)).alias("_end"))
+    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_end"))
     over_slices = Window.partitionBy(*keys).orderBy("_slice")
     handed_on = ends.select(*keys, "_slice", F.lag("_end").over(over_slices).alias("_handed"))
 

@@ -200,6 +200,8 @@ FROM ({_sessions('mmsi, port_id')}) q""")
 check("port_proximity_join", ["visits"], "SELECT event_id, port_id, round(dist_nm, 6) AS dist_nm FROM visits")
 check("fleet_speed_kpis", ["fleet_kpis"], "SELECT * FROM fleet_kpis")
 check("route_density_grid", ["grid"], "SELECT * FROM grid")
+check("density_trend", ["grid"], """
+SELECT *, ping_count - lag(ping_count) OVER (PARTITION BY grid_lat, grid_lon ORDER BY kpi_date) AS change FROM grid""")
 check("speed_alerts", ["alerts"], "SELECT * FROM alerts")
 check("alert_json", ["pings"], """
 SELECT CAST(mmsi AS VARCHAR) AS key, mmsi, vessel_name, sog AS sog_knots, lat, lon, status AS nav_status,
@@ -343,14 +345,16 @@ def _inside(lon: str, lat: str) -> str:
 
 check("pings_in_zones", ["pings"], f"""
 SELECT event_id, zone_id FROM pings p JOIN {_ZONE_ROWS} ON {_inside('p.lon', 'p.lat')}""")
-check("geofence_events", ["pings"], f"""
+_geofence = f"""
 SELECT mmsi, zone_id, CASE WHEN is_in AND was_in THEN 'INSIDE' WHEN is_in THEN 'ENTER' ELSE 'EXIT' END AS event_type,
  base_date_time AS event_time, event_id
 FROM (SELECT p.mmsi, z.zone_id, p.base_date_time, p.event_id, {_inside('p.lon', 'p.lat')} AS is_in,
   coalesce({_inside('p.plon', 'p.plat')}, false) AS was_in
   FROM (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM pings
     WINDOW w AS (PARTITION BY mmsi ORDER BY base_date_time, event_id)) p CROSS JOIN {_ZONE_ROWS}) e
-WHERE is_in OR was_in""")
+WHERE is_in OR was_in"""
+check("geofence_events", ["pings"], _geofence)
+check("geofence_events_stream", ["pings"], _geofence)
 
 _VE = "coalesce({0}.sog * sin(radians({0}.cog)), 0)".format
 _VN = "coalesce({0}.sog * cos(radians({0}.cog)), 0)".format

@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas
 from tidewatch.operators import checks, cleaning, clustering, dwell, kpis
+from tidewatch.plans.serving import cluster_summary
+from tidewatch.session import drop_scratch
 from tidewatch.sinks import tables
 from tidewatch.sinks.kafka import publish
-from tidewatch.session import drop_scratch
 from tidewatch.sources import files, pings, reference
 from tidewatch.streaming.cleaning import clean_streams
 from tidewatch.streaming.fanout import FanOut, await_all, start_fan_out, start_fused
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def clean_history(messages: DataFrame, out: str, rejects_out: str | None = None) -> None:
     """Batch-clean a bounded set of messages into the archive, one directory per date."""
@@ -96,8 +99,6 @@ def cluster_day(
         tables.replace_day(result, f"{out}/vessel_behavior_clusters", day)
     finally:
         features.unpersist()
-    from tidewatch.plans.serving import cluster_summary
-
     return cluster_summary(files.read_day(spark, f"{out}/vessel_behavior_clusters", day, "kpi_date"))
 
 
@@ -145,6 +146,7 @@ def main(argv: list[str] | None = None) -> None:
     live.add_argument("--live-seconds", type=int)
     live.add_argument("--max-offsets", type=int, default=pings.MAX_OFFSETS)
     live.add_argument("--fused", action="store_true")
+    live.add_argument("--rocksdb", action="store_true", help="keep streaming state in RocksDB")
 
     legacy = jobs.add_parser("clean-legacy")
     for name in ("--input", "--output", "--run-date"):
@@ -186,6 +188,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = pings.kafka_batch(spark, args.servers, args.topic) if args.servers else pings.replay_batch(spark, args.messages)
         clean_history(messages.select("value"), args.out, args.rejects)
     elif args.job == "stream":
+        if args.rocksdb:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         messages = (
             pings.kafka_stream(spark, args.servers, args.topic, args.max_offsets)
             if args.servers else pings.replay_stream(spark, args.messages)

@@ -14,8 +14,9 @@ from tidewatch.operators import (
     checks, cleaning, clustering, dedup, dwell, enrich, fleet_state, kpis, motion, orderstats, proximity,
     regression, spatial, zones,
 )
+from tidewatch.operators.lookup import join_lookup
 from tidewatch.plans import reports, serving
-from tidewatch.session import scratch_path
+from tidewatch.session import materialize, scratch_path
 from tidewatch.sinks import tables
 from tidewatch.sources import files, pings
 from tidewatch.streaming import cleaning as stream_cleaning
@@ -99,6 +100,11 @@ def route_density_grid(spark, d):
     return kpis.route_density_grid(src.pings(spark, d))
 
 
+@query
+def density_trend(spark, d):
+    return kpis.density_trend(served(spark, d, "route_density_grid"))
+
+
 @query
 def speed_alerts(spark, d):
     return kpis.speed_alerts(src.pings(spark, d))
@@ -390,7 +396,7 @@ def embedding_distance(spark, d):
     by_label = means.groupBy("label").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "mean"))), lambda s: s["mean"]).alias("centre")
     )
-    rows = src.table(spark, d, "embeddings").join(by_label, "label")
+    rows = join_lookup(src.table(spark, d, "embeddings"), materialize(by_label, "label-means"), ["label"])
     return rows.select("vec_id", "label", F.round(vectors.array_distance(F.col("embedding"), F.col("centre")), 6).alias("distance"))
 
 
@@ -508,6 +514,15 @@ def running_total_stream(spark, d):
     return rows.withColumn("max_time", F.col("max_time").cast("timestamp_ntz"))
 
 
+@query
+def geofence_events_stream(spark, d):
+    path = scratch_path(spark, "geofence")
+    live = windows.LiveGeofence(spark, path, schemas.zones(spark), TIE)
+    windows.drain_batches(src.pings_of(src.event_stream(spark, d)), live.add, f"{path}/checkpoint")
+    rows = spark.read.parquet(live.events).drop("batch_id")
+    return rows.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
 @query
 def tumbling_counts(spark, d):
     return windows.tumbling_counts(src.table(spark, d, "events"), "ts", "event_type")

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tidewatch.functions.geo import valid_position
+from tidewatch.operators.dedup import last_per_key
 from tidewatch.operators.dwell import (
     DAY_KEYS, GAP_SECONDS, dwell_minutes, merge_slices, port_visits, session_slices, sessions_from_slices,
 )
+from tidewatch.operators.zones import geofence_events
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import write_batch
 
@@ -70,12 +74,49 @@ class IncrementalDwell:
         visits = port_visits(batch, self.ports)
         write_batch(session_slices(visits, DAY_KEYS, "BaseDateTime", self.gap_seconds), self.base, batch_id)
 
-    def read(self, spark) -> DataFrame:
+    def read(self, spark: SparkSession) -> DataFrame:
         slices = merge_slices(spark.read.parquet(self.base), DAY_KEYS)
         found = sessions_from_slices(slices, DAY_KEYS, self.gap_seconds)
         return found.withColumn("dwell_minutes", dwell_minutes(F.col("entry_ts"), F.col("exit_ts")))
 
 
+class LiveGeofence:
+    """Geofence events batch by batch; the last position per vessel is kept between batches.
+
+    Pings are expected in time order per vessel from batch to batch, as a live feed delivers them.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, zones: DataFrame, tiebreak: list[str]):
+        self.events = f"{base}/events"
+        self.positions = SnapshotTable(spark, f"{base}/positions")
+        self.zones = zones
+        self.tiebreak = tiebreak
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        columns = ["MMSI", "BaseDateTime", *self.tiebreak, "LAT", "LON"]
+        located = batch.select(*columns).filter(valid_position(F.col("LAT"), F.col("LON")))
+        known = self.positions.read(before=batch_id)
+        track = located if known is None else known.unionByName(located)
+        found = geofence_events(track, self.zones, self.tiebreak)
+        if known is not None:
+            seen = known.select(F.col("MMSI").alias("mmsi"), F.col("BaseDateTime").alias("event_time"), *self.tiebreak)
+            found = found.join(seen, ["mmsi", "event_time", *self.tiebreak], "left_anti")
+        write_batch(found, self.events, batch_id)
+        newest = ["BaseDateTime", *self.tiebreak]
+        self.positions.update(
+            located, batch_id, lambda old, new: last_per_key(old.unionByName(new), ["MMSI"], newest)
+        )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query has dropped so far because they lay behind the watermark."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def drain_append(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a stream over what its source holds into Parquet files, and read them back."""
     query = (
