@@ -185,6 +185,14 @@ def test_running_word_count_stream(spark, tmp_path):
     assert dict(rows(got)) == {"hello": 3, "world": 1, "flink": 1, "hadoop": 1}
 
 
+def test_batches_are_stored_in_few_files(spark, tmp_path):
+    store = fanout.table_handler(str(tmp_path / "t"), max_records=40)
+    store(spark.range(100).repartition(16), 0)
+    store(spark.range(0), 1)
+    assert len(list((tmp_path / "t").glob("batch_id=0/*.parquet"))) == 3
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100
+
+
 def test_triggers():
     assert fanout.trigger() == {"availableNow": True}
     assert fanout.trigger(2) == {"processingTime": "2 seconds"}

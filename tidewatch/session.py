@@ -27,9 +27,11 @@ def local_session(app: str = "tidewatch", cores: str = "*", **conf: str) -> Spar
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where nothing is set."""
+    """The shared folder named by the cluster; a temporary one only in local mode where nothing is set."""
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidewatch-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

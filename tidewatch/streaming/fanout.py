@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tidewatch.operators.fleet_state import latest_fleet_state, merge_state
 from tidewatch.operators.kpis import ALERT_KNOTS, alert_messages
 from tidewatch.sinks.kafka import publish
 from tidewatch.sinks.snapshots import SnapshotTable
-from tidewatch.sinks.tables import write_batch
+from tidewatch.sinks.tables import MAX_RECORDS_PER_FILE, write_batch
 from tidewatch.streaming.cleaning import CleanStreams
 
 SINKS = ("fleet_state", "speed_alerts", "archive", "rejects", "json_rejects")
@@ -58,12 +59,9 @@ def start_fused(streams: CleanStreams, out: FanOut, live_seconds: int | None = N
     handlers = (state_handler(out), alert_handler(out), table_handler(out.path("archive"), by="date"))
 
     def write_all(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with held(batch):
             for handler in handlers:
                 handler(batch, batch_id)
-        finally:
-            batch.unpersist()
 
     return [
         _start(streams.cleaned, write_all, out.checkpoint("fused"), "fused", live_seconds),
@@ -103,13 +101,31 @@ def alert_handler(out: FanOut) -> Callable[[DataFrame, int], None]:
     return alert
 
 
-def table_handler(path: str, by: str | None = None) -> Callable[[DataFrame, int], None]:
+def table_handler(path: str, by: str | None = None, max_records: int = MAX_RECORDS_PER_FILE) -> Callable[[DataFrame, int], None]:
+    """Store batches as files of at most `max_records` rows, and no more of them than that takes."""
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, by)
+        with held(batch):
+            files = -(-batch.count() // max_records)
+            if files:
+                write_batch(batch.repartition(files), path, batch_id, by, max_records)
 
     return store
 
 
+@contextmanager
+def held(batch: DataFrame) -> Iterator[None]:
+    """Keep a batch while several passes read it, unless someone else keeps it already."""
+    mine = not (batch.storageLevel.useMemory or batch.storageLevel.useDisk)
+    if mine:
+        batch.persist()
+    try:
+        yield
+    finally:
+        if mine:
+            batch.unpersist()
+
+
 def await_all(queries: list[StreamingQuery]) -> None:
     for query in queries:
         query.awaitTermination()
