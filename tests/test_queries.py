@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from tidewatch import oracle, registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
@@ -27,12 +28,12 @@ def value(v):
 
 
 def test_every_query_has_sql_except_the_undetermined_ones():
-    without = set(contract.queries()) - set(contract.oracle_sql())
+    without = set(registry.all_queries()) - set(contract.oracle_sql())
     assert without == {"kmeans_clusters", "kmeans_outliers", "kmeans_with_heading", "sampled_lines"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.all_sql()))
 def test_query_equals_sql(spark, sf_dir, duck, name):
     got = contract.queries()[name](spark, sf_dir)
     want = duck.sql(contract.oracle_sql()[name])
@@ -44,7 +45,7 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(registry.all_queries()) - set(oracle.all_sql())))
 def test_query_without_sql_runs(spark, sf_dir, name):
     assert contract.queries()[name](spark, sf_dir).count() > 0
 
