@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, neardup
+from tidewatch.llm import decontaminate, langid, neardup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,16 @@ FROM d LEFT JOIN marked USING (rid) LEFT JOIN listed USING (rid)
 """
 
 
+@query
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
