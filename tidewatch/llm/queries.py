@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, langid, neardup, quality
+from tidewatch.llm import decontaminate, langid, mixing, neardup, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +66,35 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+_SQL["op7_mixing"] = r"""
+WITH d AS (SELECT doc_id, coalesce('s' || source, 'z') AS src,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    left(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 16) AS k FROM documents),
+s AS (SELECT src, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY src),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY src) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
+    source_size * 2.0::DOUBLE AS cap FROM s),
+r AS (SELECT *, row_number() OVER (ORDER BY cap / w, src) AS pos FROM w),
+l AS (SELECT pos, cap / w AS ratio,
+    (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM r),
+g AS (SELECT lev FROM l WHERE ratio >= lev ORDER BY pos LIMIT 1),
+t AS (SELECT src, source_size, least(cap, (SELECT lev FROM g) * w) AS target FROM r),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+u AS (SELECT src, k, sum(size) AS words FROM d GROUP BY src, k),
+c AS (SELECT src, k, words, coalesce(sum(words) OVER (PARTITION BY src ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM u),
+x AS (SELECT c.src, c.k FROM c JOIN e USING (src)
+    WHERE before < target - whole * source_size AND before + words / 2 <= target - whole * source_size)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (whole + CASE WHEN x.k IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN e USING (src) LEFT JOIN x ON x.src = d.src AND x.k = d.k
+"""
+
+
 @query
 def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
