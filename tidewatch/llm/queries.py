@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, langid, mixing, neardup, pii, quality
+from tidewatch.llm import decontaminate, langid, mixing, neardup, pii, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +95,11 @@ FROM d JOIN e USING (src) LEFT JOIN x ON x.src = d.src AND x.k = d.k
 """
 
 
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
