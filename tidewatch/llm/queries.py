@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, langid, mixing, neardup, pii, quality, secrets
+from tidewatch.llm import decontaminate, langid, mixing, neardup, pii, quality, secrets, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.materialise(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
