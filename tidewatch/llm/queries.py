@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, langid, mixing, neardup, pii, quality, secrets, shards
+from tidewatch.llm import chat, decontaminate, langid, mixing, neardup, neighbours, pii, quality, secrets, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +57,31 @@ FROM d LEFT JOIN marked USING (rid) LEFT JOIN listed USING (rid)
 """
 
 
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
+_SQL["op1_chat"] = """
+WITH t AS (SELECT *, length(text) - length(replace(text, ' ', '')) + 1 AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations),
+a AS (SELECT t.*, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+    CASE role WHEN 'user' THEN 't' || turn WHEN 'assistant' THEN 't' || (turn - 1) END AS call_id,
+    CASE WHEN words > 40 THEN 'long_reply' ELSE 'short_reply' END AS tool FROM t),
+j AS (SELECT a.*, CAST(to_json(text) AS VARCHAR) AS quoted, p.conv_id IS NOT NULL AS answered, c.conv_id IS NOT NULL AS asked FROM a
+  LEFT JOIN (SELECT conv_id, turn FROM conversations WHERE role = 'assistant') p ON a.conv_id = p.conv_id AND p.turn = a.turn + 1
+  LEFT JOIN (SELECT conv_id, turn FROM conversations WHERE role = 'user') c ON a.conv_id = c.conv_id AND c.turn = a.turn - 1)
+SELECT conv_id, turn, position, kind, call_id,
+  CASE WHEN kind = 'call' AND NOT answered THEN 'open' WHEN kind = 'result' AND NOT asked THEN 'orphan' ELSE 'ok' END AS status,
+  CASE WHEN kind = 'call' AND tool = 'short_reply' THEN 'unknown:n_words' ELSE '' END AS problems, false AS cyclic,
+  CASE kind WHEN 'call' THEN '{"arguments":{"final":' || CAST(turn >= 4 AS VARCHAR) || ',"n_words":' || words || ',"prompt":' || quoted
+      || '},"id":"' || call_id || '","role":"user","tool":"' || tool || '"}'
+    WHEN 'result' THEN '{"content":' || quoted || ',"role":"assistant","tool_call_id":"' || call_id || '"}'
+    ELSE '{"content":' || quoted || ',"role":"' || role || '"}' END AS json
+FROM j
+"""
+
+
 @query
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
@@ -110,6 +136,22 @@ def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+_SQL["op10_neighbours"] = """
+WITH d AS (SELECT q.vec_id AS query_id, v.vec_id,
+    sqrt(list_reduce(list_transform(range(1, len(q.embedding) + 1),
+      lambda i: (CAST(v.embedding[i] AS DOUBLE) - CAST(q.embedding[i] AS DOUBLE)) * (CAST(v.embedding[i] AS DOUBLE) - CAST(q.embedding[i] AS DOUBLE))),
+      lambda a, b: a + b)) AS score
+  FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
