@@ -7,10 +7,12 @@ is thinned to the weight, so two texts share the points of the smaller weight an
 is exactly the weighted Jaccard similarity. Only points before a time bound are drawn (the bound is raised if
 a component stays empty), which costs about m log m points for any text.
 
-Texts that agree in a band of the signature meet. Each meets the leader of its bucket first, several rounds with other
-leaders follow, and whatever is left in different classes of one bucket is compared directly, so no link that
-banding found is lost and no group is ever expanded into all its pairs up front. Every link is verified on the
-texts: the overlap of the shingle multisets must reach the threshold. Classes are the connected components.
+Texts that agree in a band of the signature share a bucket. They meet the leader of the bucket first, one that is the same
+for all buckets of a group and then one drawn for each bucket, and links join classes. Buckets that still hold several
+classes are settled exactly: of the texts in them, those meet that share a shingle early enough in the order of
+rarity (prefix and position bounds of a set join), which all pairs above the threshold do and few others. So no link that
+banding found is lost, and no group is expanded into all its pairs. Every link is verified on the texts: the overlap of the shingle
+multisets must reach the threshold. Classes are the connected components.
 
 Copies of a text are one node from the start, however many they are; a node carries its smallest doc_id. Texts of
 fewer than five words are one shingle; null or wordless texts have none and form a class each. Rows with equal
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.rowwise import emit
@@ -32,7 +34,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Rows per band and bands: two texts at the threshold share no band with a chance of 2 in 100,000.
 ROWS, BANDS = 6, 36
-#: Rounds of leaders before the rest of a bucket is compared directly.
+#: Rounds of leaders before the rest of a bucket is settled by the set join.
 ROUNDS = 2
 
 _HASHES = WordHashes()
@@ -160,24 +162,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge (a, b); root is the smallest node of its component.
 
-    Large-star and small-star steps in turn, each written to the shared folder, until the edges stay the same. No step
+    Large-star and small-star steps in turn, each written to the shared folder, until only stars are left. No step
     gathers the neighbours of a node: minima combine before their shuffle and come back by a join.
     """
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    edges, before = materialize(ordered.distinct(), "edges"), None
+    edges = materialize(ordered.distinct(), "edges")
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.min("b").alias("low"))
-        lowest = lowest.select(F.col("a").alias("hub"), F.least("a", "low").alias("low"))
-        large = both.join(lowest, F.col("a") == F.col("hub")).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = materialize(large.filter("a <> b").distinct(), "large_star")
+        lowest = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("hub"), F.least("a", "low").alias("low"))
+        large = both.join(lowest, F.col("a") == F.col("hub")).filter("b > a AND b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = materialize(large.distinct(), "large_star")
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(lowest, "a").select(F.explode(F.array(F.struct("a", "low"), F.struct(F.col("b").alias("a"), "low"))).alias("e"))
-        edges = materialize(small.select("e.a", F.col("e.low").alias("b")).filter("a <> b").distinct(), "small_star")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        pairs = F.array(F.struct("a", "low"), F.struct(F.col("b").alias("a"), "low"))
+        small = large.join(lowest, "a").select(F.explode(pairs).alias("e")).select("e.a", F.col("e.low").alias("b"))
+        edges = materialize(small.filter("a <> b").distinct(), "small_star")
+        # done when every node has one edge and no root has one
+        sides = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        sides = sides.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        if sides.filter("up > 1 OR (up > 0 AND down > 0)").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
 
 
 def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -189,27 +192,58 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def _fits(threshold: float):
     """The length bound: multisets whose sizes differ too much cannot overlap enough."""
-    return F.least("n", "n_other") >= F.lit(threshold) * F.greatest("n", "n_other")
+    return F.least("n", "n_other") >= F.lit(threshold) * F.greatest("n", "n_other") - 1e-9
 
 
 def _candidates(members: DataFrame, turn: int, threshold: float) -> DataFrame:
     """Pairs of each member with the leader of its bucket, where the two are not in one class yet."""
-    rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", "root", "n")
+    by = F.xxhash64("node") if turn == 0 else F.xxhash64("node", "bucket", F.lit(turn))
+    rank = F.struct(by.alias("by"), "node", "root", "n")
     leaders = members.groupBy("bucket").agg(F.min(rank).alias("leader"), F.min("root").alias("low"), F.max("root").alias("high"))
     leaders = leaders.filter("low <> high").select(
         "bucket", F.col("leader.node").alias("b"), F.col("leader.root").alias("other"), F.col("leader.n").alias("n_other")
     )
     met = members.join(leaders, "bucket").filter(F.col("root") != F.col("other")).filter(_fits(threshold))
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    return met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
 
 
-def _rest(members: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of a bucket that lie in different classes: what the rounds of leaders have left open."""
+def _elements(texts: DataFrame) -> DataFrame:
+    """(node, element) of the shingles of texts; the k-th copy of a shingle in a text is an element of its own."""
+
+    def make(batches):
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hashes, counts = bag(text)
+                copy = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                elements = mix(np.repeat(hashes, counts) + copy.astype(np.uint64)).view(np.int64)
+                yield pa.array([node] * len(elements), pa.binary()), elements
+
+    return emit(texts.select("node", "text"), "node binary, element long", make)
+
+
+def _rest(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that may still be linked, of all texts in buckets that hold several classes.
+
+    Elements are ordered by how rare they are. A pair above the threshold shares its first common element within the prefix of
+    each, and what follows that element must be long enough for the overlap both sizes ask for.
+    """
     mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    left = members.join(mixed.select("bucket"), "bucket")
-    right = left.select("bucket", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n").alias("n_other"))
-    met = left.join(right, "bucket").filter("node < b AND root <> other").filter(_fits(threshold))
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    open_nodes = members.join(mixed.select("bucket"), "bucket").select("node", "root", "n").distinct()
+    open_nodes = materialize(open_nodes, "open_nodes")
+    elements = materialize(_elements(texts.join(open_nodes.select("node"), "node")), "elements")
+    shared = elements.groupBy("element").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    known = elements.join(shared, "element").join(open_nodes, "node")
+    place, every = Window.partitionBy("node").orderBy("held", "element"), Window.partitionBy("node")
+    # elements of one text alone are the rarest and come first: they only push the others back
+    known = known.withColumn("place", F.col("n") - F.count(F.lit(1)).over(every) + F.row_number().over(place))
+    prefix = known.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+    prefix = materialize(prefix.select("element", "node", "root", "n", "place"), "prefixes")
+    other = prefix.select("element", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "place")])
+    needed = F.ceil((F.col("n") + F.col("n_b")) * (threshold / (1 + threshold)) - 1e-9)
+    reachable = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1 >= needed
+    fits = F.least("n", "n_b") >= F.lit(threshold) * F.greatest("n", "n_b") - 1e-9
+    met = prefix.join(other, "element").filter("node > node_b AND root <> root_b").filter(reachable & fits)
+    return met.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
@@ -262,7 +296,7 @@ def _classes(docs: DataFrame, threshold: float, rounds: int) -> tuple[DataFrame,
     roots: DataFrame | None = None
     for turn in range(rounds + 1):
         rooted = _rooted(members, roots)
-        pairs = _candidates(rooted, turn, threshold) if turn < rounds else _rest(rooted, threshold)
+        pairs = _candidates(rooted, turn, threshold) if turn < rounds else _rest(rooted, texts, threshold)
         new = materialize(_verified(pairs, texts, threshold), "links")
         if not new.isEmpty():
             links = new if links is None else links.union(new)
