@@ -83,16 +83,16 @@ def _let(value: Column, use) -> Column:
 
 def _starts(pieces: Column, found: Column) -> Column:
     """Start of every match: running sums of the lengths between and of the matches, in blocks of about the root of their number."""
-    count = F.size(found)
-    gaps = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.length(F.get(pieces, i)) + F.coalesce(F.length(F.get(found, i - 1)), F.lit(0)))
+    numbers = F.sequence(F.lit(0), F.size(found) - 1)
+    gaps = F.transform(numbers, lambda i: F.length(F.get(pieces, i)) + F.coalesce(F.length(F.get(found, i - 1)), F.lit(0)))
     add = lambda total, x: total + x
     zero = F.lit(0)
 
     def walk(gaps: Column) -> Column:
         block = F.greatest(F.lit(1), F.floor(F.sqrt(F.size(gaps))).cast("int"))
-        numbers = F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / block).cast("int"))
-        sums = F.transform(numbers, lambda b: F.aggregate(F.slice(gaps, b * block + 1, block), zero, add))
-        before = _let(sums, lambda s: F.transform(numbers, lambda b: F.aggregate(F.slice(s, F.lit(1), b), zero, add)))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / block).cast("int"))
+        sums = F.transform(blocks, lambda b: F.aggregate(F.slice(gaps, b * block + 1, block), zero, add))
+        before = _let(sums, lambda s: F.transform(blocks, lambda b: F.aggregate(F.slice(s, F.lit(1), b), zero, add)))
         own = lambda i, at: F.get(at, F.floor(i / block).cast("int")) + F.aggregate(F.slice(gaps, F.floor(i / block).cast("int") * block + 1, i % block + 1), zero, add)
         return _let(before, lambda at: F.transform(F.sequence(F.lit(0), F.size(gaps) - 1), lambda i: own(i, at)))
 
@@ -100,15 +100,21 @@ def _starts(pieces: Column, found: Column) -> Column:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Array of (start, value) of all matches."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """Array of (start, value, left, right) of all matches; left and right are what stands next to it, up to the next match."""
+
+    def described(found: Column, pieces: Column) -> Column:
+        def one(start: Column, i: Column) -> Column:
+            left, right = F.right(F.get(pieces, i), F.lit(CONTEXT)), F.left(F.get(pieces, i + 1), F.lit(1))
+            return F.struct(start.alias("start"), F.get(found, i).alias("value"), left.alias("left"), right.alias("right"))
+
+        return F.transform(_starts(pieces, found), one)
 
     def placed(found: Column) -> Column:
-        starts = _starts(F.split(text, pattern, -1), found)
-        pairs = F.arrays_zip(starts.alias("start"), found.alias("value"))
-        return F.when(F.size(found) > 0, pairs)
+        return F.when(F.size(found) > 0, _let(F.split(text, pattern, -1), lambda pieces: described(found, pieces)))
 
-    return F.coalesce(_let(found, placed), F.array().cast("array<struct<start:int,value:string>>"))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    none = F.array().cast("array<struct<start:int,value:string,left:string,right:string>>")
+    return F.coalesce(_let(found, placed), none)
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -159,10 +165,8 @@ def candidates(text: Column) -> Column:
 
     def described(kind: str) -> Column:
         def one(m: Column) -> Column:
-            start, value = m["start"], m["value"]
+            start, value, left, right = m["start"], m["value"], m["left"], m["right"]
             end = start + F.length(value)
-            left = F.substring(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-            right = F.substring(text, end + 1, F.lit(1))
             base = _is_base(kind, value)
             return F.struct(
                 start.alias("start"), F.lit(KINDS.index(kind)).alias("place"), end.alias("end"), F.lit(kind).alias("kind"),
@@ -177,13 +181,10 @@ def candidates(text: Column) -> Column:
 
 def _log_odds(votes: Column, prior: float, table: dict) -> Column:
     """Log odds that a candidate with these votes is real, by the present estimates."""
-    total = F.lit(math.log(prior / (1 - prior)))
-    for place, name in enumerate(LABELERS):
-        letter = F.substring(votes, place + 1, 1)
-        for vote in "yn-":
-            real, other = table[name, vote]
-            total = total + F.when(letter == vote, F.lit(math.log(real / other))).otherwise(F.lit(0.0))
-    return total
+    ratios = [(f"{LABELERS.index(name)}{vote}", math.log(real / other)) for (name, vote), (real, other) in table.items()]
+    weights = F.create_map(*[F.lit(x) for pair in ratios for x in pair])
+    cast = F.transform(F.sequence(F.lit(0), F.lit(len(LABELERS) - 1)), lambda k: F.concat(k.cast("string"), F.substring(votes, k + 1, F.lit(1))))
+    return F.aggregate(cast, F.lit(math.log(prior / (1 - prior))), lambda total, key: total + F.element_at(weights, key))
 
 
 def _chance(odds: Column) -> Column:
@@ -193,21 +194,20 @@ def _chance(odds: Column) -> Column:
 def reliabilities(patterns: DataFrame) -> tuple[float, dict]:
     """Expectation-maximisation over (votes, n): the share of real candidates, and for each labeler and vote its
     chance on real and on other candidates. Starts from the balance of votes; sums are smoothed by one."""
-    letter = lambda place: F.substring("votes", place + 1, 1)
-    balance = sum((F.when(letter(k) == "y", 1).when(letter(k) == "n", -1).otherwise(0) for k in range(len(LABELERS))), F.lit(0))
+    letter = F.substring("votes", F.col("place") + 1, F.lit(1)).alias("vote")
+    places = F.explode(F.sequence(F.lit(0), F.lit(len(LABELERS) - 1))).alias("place")
+    cast = materialize(patterns.select("votes", "n", places).select("votes", "n", "place", letter), "pii_casts")
+    balance = F.length(F.replace("votes", F.lit("n"))) - F.length(F.replace("votes", F.lit("y")))
     chance = _chance(balance.cast("double"))
     for _ in range(ITERATIONS):
-        real, all_ = F.col("n") * chance, F.col("n").cast("double")
-        sums = [F.sum(real), F.sum(all_)]
-        for place in range(len(LABELERS)):
-            for vote in "yn-":
-                cast = F.when(letter(place) == vote, 1.0).otherwise(0.0)
-                sums += [F.sum(real * cast), F.sum(all_ * cast)]
-        row = [float(x or 0.0) for x in patterns.agg(*[s.alias(f"s{k}") for k, s in enumerate(sums)]).first()]
-        yes, total = row[0], row[1]
+        sums = cast.withColumn("p", chance).groupBy("place", "vote").agg(F.sum(F.col("n") * F.col("p")).alias("real"), F.sum("n").alias("n"))
+        rows = {(LABELERS[r["place"]], r["vote"]): (r["real"], r["n"]) for r in sums.collect()}  # a row per labeler and vote
+        yes, total = (sum(r[k] for (name, _), r in rows.items() if name == LABELERS[0]) for k in (0, 1))
         prior = (yes + 1) / (total + 2)
-        keys = [(name, vote) for name in LABELERS for vote in "yn-"]
-        table = {k: ((r + 1) / (yes + 3), (a - r + 1) / (total - yes + 3)) for k, r, a in zip(keys, row[2::2], row[3::2], strict=True)}
+        table = {}
+        for key in [(name, vote) for name in LABELERS for vote in "yn-"]:
+            real, n = rows.get(key, (0.0, 0))
+            table[key] = (real + 1) / (yes + 3), (n - real + 1) / (total - yes + 3)
         chance = _chance(_log_odds(F.col("votes"), prior, table))
     return prior, table
 
@@ -237,9 +237,18 @@ def find(docs: DataFrame, of: str = "text") -> DataFrame:
     patterns = materialize(spans.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "pii_votes")
     prior, table = reliabilities(patterns)
     odds = span_classifier(spans, prior, table)
+    # stretches of 64 characters that base spans touch: most candidates are clear of them without a look at the spans
+    stretches = lambda c: F.sequence(F.floor(c["start"] / 64), F.floor((c["end"] - 1) / 64))
     bases = F.filter("candidates", lambda c: c["base"])
-    clear = lambda c, bases: ~F.exists(bases, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    accepted = lambda c, bases: c["base"] | ((odds(c["features"]) >= math.log(THRESHOLD / (1 - THRESHOLD))) & clear(c, bases))
+    bases = F.struct(bases.alias("spans"), F.flatten(F.transform(bases, stretches)).alias("touched"))
+
+    def clear(c: Column, bases: Column) -> Column:
+        near = F.exists(stretches(c), lambda k: F.array_contains(bases["touched"], k))
+        return ~near | ~F.exists(bases["spans"], lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+    def accepted(c: Column, bases: Column) -> Column:
+        return c["base"] | ((odds(c["features"]) >= math.log(THRESHOLD / (1 - THRESHOLD))) & clear(c, bases))
+
     kept = _let(bases, lambda b: F.filter("candidates", lambda c: accepted(c, b)))
     short = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["base"].alias("base")))
     return found.select("doc_id", short.alias("spans"))
