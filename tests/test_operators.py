@@ -237,6 +237,30 @@ def test_collision_levels_and_minutes(spark):
     assert got[3]["risk_level"] == "MEDIUM" and 5 not in got
 
 
+def risks(spark, data, **options):
+    rows = proximity.collision_pairs(pings(spark, data), ["event_id"], **options).collect()
+    return {(r["vessel_1_mmsi"], r["vessel_2_mmsi"]): (r["risk_level"], round(r["distance_meters"], 1)) for r in rows}
+
+
+def test_collisions_across_a_slice_border(spark):
+    data = [(1, 599, 0.0, 0.0, 0.0, 0.0), (2, 601, 0.0, 0.06 / 60, 0.0, 0.0)]
+    assert risks(spark, data) == {(1, 2): ("HIGH", 111.2)}
+
+
+def test_positions_of_different_moments_are_not_compared(spark):
+    east = 20.0 * 598 / 3600 / 60
+    apart = [(1, 0, 0.0, 0.0, 20.0, 90.0), (2, 598, 0.0, 0.06 / 60, 20.0, 90.0)]
+    assert risks(spark, apart) == {} and risks(spark, apart, within_seconds=600) == {}
+    abreast = [(1, 0, 0.0, 0.0, 20.0, 90.0), (2, 598, 0.0, east + 0.06 / 60, 20.0, 90.0)]
+    assert risks(spark, abreast, within_seconds=600)[1, 2][1] == pytest.approx(111.2, abs=1.5)
+
+
+def test_a_pair_has_its_closest_comparison_per_slice(spark):
+    data = [(1, t, 0.0, 0.0, 0.0, 0.0) for t in (0, 60, 120, 700)] + [(2, t, 0.0, lon / 60, 0.0, 0.0) for t, lon in ((5, 0.4), (65, 0.2), (125, 0.3), (705, 0.9))]
+    rows = proximity.collision_pairs(pings(spark, data), ["event_id"]).orderBy("slice").collect()
+    assert [round(r["distance_meters"] / 1852, 1) for r in rows] == [0.2, 0.9]
+
+
 def test_port_congestion_levels(spark):
     data = [(m, 0, 29.8, -95.1, 2.0, 0.0) for m in range(15)] + [(m, 0, 32.7, -117.2, 4.0, 0.0) for m in range(100, 105)]
     got = {r["port_id"]: r for r in proximity.port_congestion(pings(spark, data), schemas.ports(spark)).collect()}

@@ -61,7 +61,7 @@ def test_day_reads_prune_partitions(spark, sf_dir, tmp_path):
 
 def test_collisions_meet_only_in_shared_cells(spark, sf_dir):
     text = plan(proximity.collision_pairs(src.fleet_pings(spark, sf_dir), ["event_id"]))
-    assert re.search(r"(SortMergeJoin|HashJoin) \[slice#\d+L?, _row#\d+L?, _cell#\d+L?", text)
+    assert re.search(r"(SortMergeJoin|HashJoin) \[bucket#\d+L?, _row#\d+L?, _cell#\d+L?", text)
 
 
 def test_top_k_needs_no_full_sort(spark, sf_dir):

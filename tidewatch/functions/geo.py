@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_NM = 3440.065
+#: Highest speed that cleaning lets through.
+MAX_SOG_KNOTS = 102.2
 METERS_PER_NM = 1852.0
 KMH_PER_KNOT = 1.852
 
@@ -152,3 +154,11 @@ def minutes_to_closest(dx: Column, dy: Column, dvx: Column, dvy: Column) -> Colu
     closing = -(dx * dvx + dy * dvy)
     speed_sq = dvx * dvx + dvy * dvy
     return F.greatest(F.try_divide(closing * 60.0, speed_sq), F.lit(0.0))
+
+
+def moved(ping: Column, hours: Column) -> Column:
+    """A ping (struct with LAT, LON, SOG, COG) carried along its course on a local plane for some hours."""
+    north, east = velocity_north(ping["SOG"], ping["COG"]), velocity_east(ping["SOG"], ping["COG"])
+    lat = F.greatest(F.lit(-90.0), F.least(F.lit(90.0), ping["LAT"] + north * hours / 60.0))
+    lon = wrap_degrees(ping["LON"] + east * hours / 60.0 / F.greatest(F.cos(F.radians(ping["LAT"])), F.lit(1e-6)))
+    return ping.withField("LAT", lat).withField("LON", lon)

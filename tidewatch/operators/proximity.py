@@ -10,29 +10,22 @@ from pyspark.sql import functions as F
 from tidewatch.functions import geo
 from tidewatch.functions.calendar import time_slice
 from tidewatch.functions.labels import congestion_risk
-from tidewatch.operators.dedup import last_per_key
 from tidewatch.operators.lookup import join_lookup
 from tidewatch.operators.shape import computed_once
 from tidewatch.operators.spatial import DEFAULT_RADIUS_NM, near_ports
 from tidewatch.session import materialize
 
 CROWDED_CELL = 2_000
-
-
-def vessel_snapshots(pings: DataFrame, tiebreak: list[str], slice_seconds: int) -> DataFrame:
-    """The newest located ping per vessel and time slice."""
-    located = pings.filter(geo.valid_position(F.col("LAT"), F.col("LON"))).select(
-        F.col("MMSI").cast("long").alias("mmsi"),
-        time_slice(F.col("BaseDateTime"), slice_seconds).alias("slice"),
-        "BaseDateTime", *tiebreak, "LAT", "LON", "SOG", "COG",
-    )
-    return last_per_key(located, ["mmsi", "slice"], ["BaseDateTime", *tiebreak])
+#: The longest reporting interval of a vessel at anchor.
+WITHIN_SECONDS = 180
+PAIR = ["slice", "vessel_1_mmsi", "vessel_2_mmsi"]
 
 
 def collision_pairs(
     pings: DataFrame,
     tiebreak: list[str],
     *,
+    within_seconds: int = WITHIN_SECONDS,
     slice_seconds: int = 600,
     high_nm: float = 0.5,
     high_minutes: float = 10.0,
@@ -40,13 +33,24 @@ def collision_pairs(
     medium_minutes: float = 20.0,
     crowded_cell: int = CROWDED_CELL,
 ) -> DataFrame:
-    """Pairs of vessels at HIGH or MEDIUM risk in each time slice.
+    """Pairs of vessels at HIGH or MEDIUM risk, the closest approach of each pair and time slice.
 
-    Vessels meet only through a shared grid cell about as wide as the largest distance of interest. A
-    crowded cell is cut into parts: one side is dealt out over them, the other is repeated in each.
+    All pings take part. Two pings of different vessels are compared if they lie at most `within_seconds` apart: the
+    earlier one is moved along its course to the time of the later, so both positions hold for one instant, and
+    distance and time to the closest point follow from there. A pair belongs to the slice of its later ping; of several
+    rated comparisons in a slice the one with the smallest distance stays, then the sooner, then the earlier one.
+
+    Pings meet through a shared time bucket as long as the tolerance (the earlier ping also stands in the next bucket, so
+    bucket borders split nothing) and a shared grid cell as wide as the reach plus the longest way in that time. A crowded
+    cell is cut into parts: one side is dealt out over them, the other is repeated in each.
     """
-    reach = float(medium_nm)
-    ships = materialize(vessel_snapshots(pings, tiebreak, slice_seconds), "snapshots")
+    reach = float(medium_nm) + geo.MAX_SOG_KNOTS * within_seconds / 3600.0
+    located = pings.filter(geo.valid_position(F.col("LAT"), F.col("LON")) & F.col("BaseDateTime").isNotNull())
+    ships = located.select(
+        F.col("MMSI").cast("long").alias("mmsi"), "BaseDateTime", "LAT", "LON", "SOG", "COG",
+        F.struct("BaseDateTime", F.col("MMSI").cast("long"), *tiebreak).alias("when"),
+        time_slice(F.col("BaseDateTime"), within_seconds).alias("bucket"),
+    )
 
     # Latitude rows as high as the reach; each row has its own number of cells around the globe, as wide
     # as the reach at the row's far edge (one row further out for the neighbour) or wider.
@@ -70,9 +74,11 @@ def collision_pairs(
         .withColumn("_cells", cells_in_row(F.col("_row")))
         .withColumn("_cell", cell_of(F.col("LON"), F.col("_cells")))
     )
-    # The other ship is repeated over its 3 x 3 neighbourhood, each row counted in its own cells.
+    # The earlier ping is repeated over its 3 x 3 neighbourhood, each row counted in its own cells: every pair
+    # of pings meets once, in the bucket and cell of the later one.
     right = (
-        ships.withColumn("_row", F.explode(F.transform(step, lambda i: home_row + i)))
+        ships.withColumn("bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)))
+        .withColumn("_row", F.explode(F.transform(step, lambda i: home_row + i)))
         .withColumn("_cells", cells_in_row(F.col("_row")))
         .withColumn("_mid", cell_of(F.col("LON"), F.col("_cells")))
         .withColumn("_cell", F.explode(F.array_distinct(
@@ -80,7 +86,7 @@ def collision_pairs(
         )))
     )
 
-    cell = ["slice", "_row", "_cell"]
+    cell = ["bucket", "_row", "_cell"]
     crowds = materialize(
         left.groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("_ships"))
@@ -90,14 +96,25 @@ def collision_pairs(
     )
     left, right = _dealt_out(left, right, crowds, cell)
 
-    a = left.select(*cell, "_part", F.struct("mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime").alias("a"))
-    b = right.select(*cell, "_part", F.struct("mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime").alias("b"))
+    columns = ["mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime", "when"]
+    a = left.select(*cell, "_part", F.struct(*columns).alias("a"))
+    b = right.select(*cell, "_part", F.struct(*columns).alias("b"))
+    micros = lambda ping: F.unix_micros(F.col(f"{ping}.BaseDateTime").cast("timestamp"))
+    apart = micros("a") - micros("b")
     pairs = a.join(b, [*cell, "_part"]).filter(
-        (F.col("a.mmsi") < F.col("b.mmsi")) & (F.abs(F.col("a.LAT") - F.col("b.LAT")) <= row_deg)
+        (F.col("b.when") < F.col("a.when")) & (F.col("a.mmsi") != F.col("b.mmsi"))
+        & (apart <= within_seconds * 1_000_000) & (F.abs(F.col("a.LAT") - F.col("b.LAT")) <= row_deg)
     )
+    moved = pairs.withColumn("b", geo.moved(F.col("b"), apart / 3.6e9))
     distance = geo.haversine_nm(F.col("a.LAT"), F.col("a.LON"), F.col("b.LAT"), F.col("b.LON"))
-    near = pairs.withColumn("distance_nm", distance).filter(F.col("distance_nm") < reach)
-    return _rated(computed_once(near.select("slice", "a", "b", "distance_nm")), high_nm, high_minutes, medium_nm, medium_minutes)
+    near = computed_once(moved.withColumn("distance_nm", distance)).filter(F.col("distance_nm") < medium_nm)
+    first, second = (F.when(F.col("a.mmsi") < F.col("b.mmsi"), F.col(x)).otherwise(F.col(y)) for x, y in ("ab", "ba"))
+    ordered = near.select(time_slice(F.col("a.BaseDateTime"), slice_seconds).alias("slice"), first.alias("a"), second.alias("b"), "distance_nm")
+    rated = _rated(computed_once(ordered), high_nm, high_minutes, medium_nm, medium_minutes)
+    order = [F.round("distance_meters", 3), F.round("cpa_minutes", 6), F.col("created_at"), F.round("mid_lat", 6), F.round("mid_lon", 6)]
+    kept = [c for c in rated.columns if c not in PAIR]
+    closest = rated.groupBy(*PAIR).agg(F.min_by(F.struct(*kept), F.struct(*order)).alias("row"))
+    return closest.select([F.col(c) if c in PAIR else F.col(f"row.{c}").alias(c) for c in rated.columns])
 
 
 def _dealt_out(left: DataFrame, right: DataFrame, crowds: DataFrame, cell: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -359,20 +359,25 @@ check("geofence_events_stream", ["pings"], _geofence)
 _VE = "coalesce({0}.sog * sin(radians({0}.cog)), 0)".format
 _VN = "coalesce({0}.sog * cos(radians({0}.cog)), 0)".format
 check("collision_pairs", ["fleet_pings"], f"""
-, ships AS (SELECT * FROM (SELECT *, epoch_us(base_date_time) // 21600000000 AS slice,
-  row_number() OVER (PARTITION BY mmsi, epoch_us(base_date_time) // 21600000000 ORDER BY base_date_time DESC, event_id DESC) AS rn
-  FROM fleet_pings) s WHERE rn = 1),
-pairs AS (SELECT a.slice, a.mmsi AS m1, b.mmsi AS m2, {nm('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS dist,
-  (b.lon - a.lon) * 60.0 * cos(radians((a.lat + b.lat) / 2.0)) AS dx, (b.lat - a.lat) * 60.0 AS dy,
-  {_VE('b')} - {_VE('a')} AS dvx, {_VN('b')} - {_VN('a')} AS dvy, (a.lat + b.lat) / 2.0 AS mid_lat, (a.lon + b.lon) / 2.0 AS mid_lon,
-  greatest(a.base_date_time, b.base_date_time) AS created_at
-  FROM ships a JOIN ships b ON a.slice = b.slice AND a.mmsi < b.mmsi AND abs(a.lat - b.lat) < 0.05 AND abs(a.lon - b.lon) < 0.05),
-met AS (SELECT *, greatest(CASE WHEN dvx * dvx + dvy * dvy <> 0 THEN -(dx * dvx + dy * dvy) * 60.0 / (dvx * dvx + dvy * dvy) END, 0) AS minutes
-  FROM pairs WHERE dist < 1.0)
+-- every two pings of different vessels at most 180 s apart, the earlier one (b) moved to the time of the later one (a)
+, met AS (SELECT a.mmsi AS ma, b.mmsi AS mb, a.lat AS alat, a.lon AS alon, {_VE('a')} AS ave, {_VN('a')} AS avn, {_VE('b')} AS bve, {_VN('b')} AS bvn,
+  a.base_date_time AS created_at, b.lat + {_VN('b')} * h / 60.0 AS blat,
+  b.lon + {_VE('b')} * h / 60.0 / cos(radians(b.lat)) AS blon
+  FROM (SELECT a, b, (epoch_us(a.base_date_time) - epoch_us(b.base_date_time)) / 3.6e9 AS h FROM fleet_pings a JOIN fleet_pings b
+    ON epoch_us(a.base_date_time) // 180000000 - epoch_us(b.base_date_time) // 180000000 IN (0, 1) AND a.mmsi <> b.mmsi
+    AND (b.base_date_time < a.base_date_time OR (b.base_date_time = a.base_date_time AND b.mmsi < a.mmsi))
+    AND epoch_us(a.base_date_time) - epoch_us(b.base_date_time) <= 180000000 AND abs(a.lat - b.lat) < 0.2)),
+pairs AS (SELECT *, {nm('alat', 'alon', 'blat', 'blon')} AS dist, least(ma, mb) AS m1, greatest(ma, mb) AS m2,
+  (blon - alon) * 60.0 * cos(radians((alat + blat) / 2.0)) AS dx, (blat - alat) * 60.0 AS dy, bve - ave AS dvx, bvn - avn AS dvy,
+  (alat + blat) / 2.0 AS mid_lat, (alon + blon) / 2.0 AS mid_lon, epoch_us(created_at) // 600000000 AS slice FROM met),
+timed AS (SELECT *, greatest(CASE WHEN dvx * dvx + dvy * dvy <> 0 THEN -(dx * dvx + dy * dvy) * 60.0 / (dvx * dvx + dvy * dvy) END, 0) AS minutes
+  FROM pairs WHERE dist < 1.0),
+best AS (SELECT *, row_number() OVER (PARTITION BY slice, m1, m2 ORDER BY round(dist * 1852.0, 3), round(minutes, 6), created_at,
+  round(mid_lat, 6), round(mid_lon, 6)) AS pick FROM timed WHERE minutes < 20)
 SELECT slice, m1 AS vessel_1_mmsi, m2 AS vessel_2_mmsi, round(dist * 1852.0, 3) AS distance_meters, round(minutes, 6) AS cpa_minutes,
  CASE WHEN dist < 0.5 AND minutes < 10 THEN 'HIGH' ELSE 'MEDIUM' END AS risk_level, round(mid_lat, 6) AS mid_lat,
  round(mid_lon, 6) AS mid_lon, created_at
-FROM met WHERE minutes < 20""")
+FROM best WHERE pick = 1""")
 check("port_congestion", ["state"], f"""
 SELECT p.port_id, count(s.mmsi) AS active_vessels_count, {half_up('avg(s.sog_knots)', 6)} AS avg_speed_knots,
  CASE WHEN count(s.mmsi) >= 15 THEN 'HIGH' WHEN count(s.mmsi) >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS congestion_risk

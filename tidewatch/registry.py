@@ -315,7 +315,7 @@ def pings_in_zones(spark, d):
 
 @query
 def collision_pairs(spark, d):
-    rows = proximity.collision_pairs(src.fleet_pings(spark, d), TIE, slice_seconds=21_600)
+    rows = proximity.collision_pairs(src.fleet_pings(spark, d), TIE)
     return rows.withColumns({
         "distance_meters": F.round("distance_meters", 3),
         "cpa_minutes": F.round("cpa_minutes", 6),
