@@ -101,6 +101,20 @@ def test_ragged_csv_replay(spark, tmp_path):
     assert files.read_ragged_csv(spark, str(tmp_path / "b.csv")).count() == 0
 
 
+def test_ragged_csv_reads_each_file_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("MMSI,BaseDateTime,LAT,LON\n1,t1,1.0,2.0\n2,t2,3.0,4.0\n")
+    (tmp_path / "b.csv").write_text("BaseDateTime,MMSI,LON,LAT,Port\nt3,3,9.0,8.0,Suez\nt4,4,7.0,6.0,Suez\n")
+    (tmp_path / "c.csv").write_text("BaseDateTime,LAT\nt5,1.0\n")
+    (tmp_path / "d.csv").write_text("")
+    read = files.read_ragged_csv(spark, str(tmp_path))
+    assert rows(read, "MMSI", "BaseDateTime", "LAT", "LON") == [
+        ("1", "t1", "1.0", "2.0"), ("2", "t2", "3.0", "4.0"), ("3", "t3", "8.0", "9.0"), ("4", "t4", "6.0", "7.0"),
+    ]
+    messages = {r["key"]: json.loads(r["value"]) for r in pings.to_messages(read).collect()}
+    assert messages["3"]["Port"] == "Suez" and "Port" not in messages["1"]
+    assert rows(files.read_ragged_csv(spark, str(tmp_path), max_rows=1), "MMSI") == [("1",), ("3",)]
+
+
 def test_delimited_and_column_reads(spark, tmp_path):
     (tmp_path / "bank.csv").write_text('"age";"job";"marital";"education";"default";"balance"\n30;"a b";"single";"x";"no";17\n25;"c";"married";"y";"no";5\n')
     schema = "age int, job string, marital string, education string, defaulted string, balance int"

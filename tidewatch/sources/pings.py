@@ -49,6 +49,10 @@ def replay_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def to_messages(rows: DataFrame) -> DataFrame:
-    """`key` = MMSI and `value` = all fields as JSON; missing fields are written as empty text."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns if c in RAW_FIELDS]
+    """`key` = MMSI and `value` = all columns as JSON.
+
+    Missing values of the known fields are written as empty text; other columns that a row does not have are left out.
+    """
+    text = {c: F.col(f"`{c}`").cast("string") for c in rows.columns}
+    fields = [(F.coalesce(v, F.lit("")) if c in RAW_FIELDS else v).alias(c) for c, v in text.items()]
     return rows.select(F.col("MMSI").cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
