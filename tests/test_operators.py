@@ -11,6 +11,7 @@ from tidewatch.operators import (
     checks, clustering, dedup, dwell, fleet_state, kpis, lookup, motion, orderstats, proximity, regression, sequences,
     spatial, zones,
 )
+from tidewatch.plans import serving
 
 T0 = dt.datetime(2024, 1, 1, 6)
 PING = "event_id long, MMSI long, BaseDateTime timestamp, LAT double, LON double, SOG double, COG double, VesselName string, VesselType int, Status int, Heading double"
@@ -189,7 +190,7 @@ def test_lookup_size_counts_bytes_too(spark):
 
 
 def test_sliding_acceleration(spark):
-    got = motion.sliding_acceleration(pings(spark, [(1, 0, 0.0, 0.0, 10.0, 0.0), (1, 60, 0.0, 0.0, 16.0, 0.0), (1, 61, 0.0, 0.0, None, 0.0)]))
+    got = motion.sliding_acceleration(pings(spark, [(1, 0, 0.0, 0.0, 10.0, 0.0), (1, 60, 0.0, 0.0, 16.0, 0.0), (1, 61, 0.0, 0.0, None, 0.0)]), ["event_id"])
     assert got.count() == 4 and {round(r["acceleration"], 6) for r in got.collect()} == {0.1}
 
 
@@ -210,6 +211,12 @@ def test_ring_of_any_shape(spark):
     assert [(r["x"], r["y"], r["i"]) for r in got] == points
 
 
+def test_sliding_acceleration_does_not_depend_on_row_order(spark):
+    data = pings(spark, [(1, 0, 0.0, 0.0, 4.0, 0.0), (1, 0, 0.0, 0.0, 12.0, 0.0), (1, 30, 0.0, 0.0, 15.0, 0.0)])
+    found = [rows(motion.sliding_acceleration(d, ["event_id"]), "acceleration") for d in (data, data.orderBy(F.desc("event_id")).coalesce(1))]
+    assert found[0] == found[1] and set(found[0]) == {((15.0 - 4.0) / 30,)}
+
+
 # --- proximity
 
 @pytest.mark.parametrize("crowded", [1, 3, 1000])
@@ -270,6 +277,15 @@ def test_port_congestion_levels(spark):
 
 # --- order statistics, clusters, checks
 
+@pytest.mark.parametrize("wild", [[float("inf")], [float("inf"), float("-inf")], [1.7e308, -1.7e308], [float("inf"), 1.7976931348623157e308]])
+def test_exact_ranks_with_infinities_and_the_widest_range(spark, wild):
+    data = [float(k) for k in range(100)] + wild
+    df = spark.createDataFrame([("g", v) for v in data], "g string, v double")
+    ranks = {"low": "1", "mid": "50", "top": "n"}
+    got = {r["label"]: r["value"] for r in orderstats.exact_ranks(df, ["g"], "v", ranks, bins=4, small_range=3).collect()}
+    assert got == {"low": sorted(data)[0], "mid": sorted(data)[49], "top": sorted(data)[-1]}
+
+
 @pytest.mark.parametrize("bins, small", [(4, 1), (16, 10), (2048, 20_000)])
 def test_exact_ranks_with_ties_and_outliers(spark, bins, small):
     rng = random.Random(4)
@@ -368,3 +384,10 @@ def test_dedup_is_stable_under_any_order(spark):
         df = spark.createDataFrame(data, "k int, pos int, v double").repartition(seed * 3)
         assert rows(dedup.first_per_key(df, ["k"], ["pos"]), "k", "pos") == [(k, k) for k in range(5)]
         assert rows(dedup.last_per_key(df, ["k"], ["pos"]), "k", "pos") == [(k, 45 + k) for k in range(5)]
+
+
+def test_reports_are_not_cut(spark):
+    ports = spark.createDataFrame([(f"P{k:02d}", float(k)) for k in range(21)], "port_id string, dwell_minutes double")
+    assert serving.dwell_by_port(ports).count() == 21 and serving.dwell_by_port(ports, 5).count() == 5
+    clusters = spark.createDataFrame([(k, 1.0, 1.0, False) for k in range(12)], "cluster_id int, sog_knots double, distance_to_centroid double, is_anomaly boolean")
+    assert serving.vessels_per_cluster(clusters).count() == 12 and serving.cluster_behaviour(clusters).count() == 12

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.geo import valid_position, wkt_lat, wkt_lon, wkt_point
 from tidewatch.operators.dedup import last_per_key, row_order
+from tidewatch.operators.shape import first_rows
 
 STATE_COLUMNS = (
     "mmsi", "vessel_name", "point", "sog_knots", "cog_degrees", "heading_degrees", "nav_status",
@@ -60,6 +61,6 @@ def stale_vessels(state: DataFrame, now: Column, older_than: str = "INTERVAL 1 H
     return state.filter(F.col("last_updated") < now - F.expr(older_than))
 
 
-def mapped_points(view: DataFrame, n: int = 10_000) -> DataFrame:
-    """Map points with a position; the row limit is that of the map."""
-    return view.filter(valid_position(F.col("lat"), F.col("lon"))).orderBy("mmsi").limit(n)
+def mapped_points(view: DataFrame, n: int | None = None) -> DataFrame:
+    """Map points with a position: all of them, or the first `n` by vessel."""
+    return first_rows(view.filter(valid_position(F.col("lat"), F.col("lon"))).orderBy("mmsi"), n)

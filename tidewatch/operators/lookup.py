@@ -39,7 +39,7 @@ def join_lookup(
         raise ValueError(f"lookup joins are inner or left, not {how}")
     if fits_broadcast(lookup, max_broadcast_rows):
         return rows.join(F.broadcast(lookup), on, how)
-    salt = F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts))
     spread = rows.withColumn("_salt", salt.cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")

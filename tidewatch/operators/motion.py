@@ -45,19 +45,19 @@ def movement_distance(pings: DataFrame, tiebreak: list[str], **slicing) -> DataF
     )
 
 
-def sliding_acceleration(pings: DataFrame, step_seconds: int = 60, steps: int = 5) -> DataFrame:
+def sliding_acceleration(pings: DataFrame, tiebreak: list[str], step_seconds: int = 60, steps: int = 5) -> DataFrame:
     """Knots gained per second between the first and last speed of each sliding window and vessel.
 
     A window is `steps` steps wide and moves by one. Pings shrink to one row per vessel and step before
-    they are repeated for the windows they belong to.
+    they are repeated for the windows they belong to. Pings of one instant rank by `tiebreak`.
     """
-    at = F.col("BaseDateTime")
+    at, when = F.col("BaseDateTime"), F.struct("BaseDateTime", *tiebreak)
     per_step = (
         pings.filter(F.col("SOG").isNotNull())
         .groupBy(F.col("MMSI").cast("long").alias("mmsi"), F.window(at, f"{step_seconds} seconds")["start"].alias("_step"))
         .agg(
-            F.min(at).alias("_from"), F.min_by("SOG", at).alias("_first"),
-            F.max(at).alias("_to"), F.max_by("SOG", at).alias("_last"), F.count(F.lit(1)).alias("_n"),
+            F.min(at).alias("_from"), F.min_by("SOG", when).alias("_first"),
+            F.max(at).alias("_to"), F.max_by("SOG", when).alias("_last"), F.count(F.lit(1)).alias("_n"),
         )
     )
     back = F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))

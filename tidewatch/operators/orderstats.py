@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,7 @@ from tidewatch.operators.lookup import join_lookup
 from tidewatch.session import materialize
 
 BINS = 2048
+LARGEST = sys.float_info.max
 SMALL_RANGE = 20_000
 
 
@@ -67,8 +69,12 @@ def _widest(targets: DataFrame) -> int:
 
 
 def _narrow(values: DataFrame, targets: DataFrame, group: list[str], bins: int) -> DataFrame:
-    share = F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    bin_no = F.least(F.floor(share * bins), F.lit(bins - 1))
+    # Halves of finite stand-ins: neither infinities nor a range wider than a double break the division. The ends
+    # always fall into different bins, so every round narrows.
+    half = lambda c: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.col(c))) / 2
+    share = F.coalesce(F.try_divide(half("_v") - half("_lo"), half("_hi") - half("_lo")), F.lit(0.0))
+    inner = F.least(F.floor(share * bins), F.lit(bins - 1))
+    bin_no = F.when(F.col("_v") <= F.col("_lo"), 0).when(F.col("_v") >= F.col("_hi"), bins - 1).otherwise(inner)
     span = join_lookup(values, targets, group).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     counted = (
         span.withColumn("_bin", bin_no)

@@ -14,3 +14,8 @@ def computed_once(rows: DataFrame) -> DataFrame:
     """
     packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
     return packed.select(F.inline(F.array("_row")))
+
+
+def first_rows(rows: DataFrame, n: int | None) -> DataFrame:
+    """The first `n` rows, or all where no number is given."""
+    return rows if n is None else rows.limit(n)

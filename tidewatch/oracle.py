@@ -318,7 +318,7 @@ check("fleet_state_view", ["state"], """
 SELECT mmsi, vessel_name, lat, lon, sog_knots, cog_degrees, heading_degrees, nav_status, last_updated FROM state""")
 check("fleet_staleness", ["state"], f"""
 SELECT mmsi, last_updated FROM state WHERE last_updated < TIMESTAMP '{NOW}' - INTERVAL 24 HOURS""")
-check("fleet_map_points", ["state"], "SELECT mmsi, lat, lon FROM state ORDER BY mmsi LIMIT 10000")
+check("fleet_map_points", ["state"], "SELECT mmsi, lat, lon FROM state ORDER BY mmsi")
 check("movement_distance", ["pings"], f"""
 SELECT mmsi, count(*) AS ping_count, round(sum(coalesce(leg, 0)), 4) AS distance_nm
 FROM (SELECT mmsi, {nm('plat', 'plon', 'lat', 'lon')} AS leg
@@ -328,8 +328,8 @@ GROUP BY mmsi""")
 check("sliding_acceleration", ["pings"], """
 SELECT mmsi, window_start, ping_count, round((last_sog - first_sog) / ((epoch_us(last_at) - epoch_us(first_at)) / CAST(1000000 AS DOUBLE)), 9) AS acceleration
 FROM (SELECT mmsi, date_trunc('minute', base_date_time) - to_minutes(k) AS window_start, count(*) AS ping_count,
-  min(base_date_time) AS first_at, max(base_date_time) AS last_at, arg_min(sog, base_date_time) AS first_sog,
-  arg_max(sog, base_date_time) AS last_sog
+  min(base_date_time) AS first_at, max(base_date_time) AS last_at, arg_min(sog, struct_pack(t := base_date_time, e := event_id)) AS first_sog,
+  arg_max(sog, struct_pack(t := base_date_time, e := event_id)) AS last_sog
   FROM pings, (SELECT unnest(range(5)) AS k) s WHERE sog IS NOT NULL GROUP BY 1, 2) w
 WHERE last_at > first_at""")
 
@@ -411,7 +411,7 @@ SELECT kpi_date, port_id, count(*) AS completed_dwell_events, {half_up('avg(dwel
 FROM dwell WHERE {_on_day} GROUP BY kpi_date, port_id""")
 check("dwell_by_port", ["dwell"], f"""
 SELECT port_id, {half_up('avg(dwell_minutes)', 1)} AS avg_dwell_mins, count(*) AS dwell_events FROM dwell GROUP BY port_id
-ORDER BY avg_dwell_mins DESC, port_id LIMIT 20""")
+ORDER BY avg_dwell_mins DESC, port_id""")
 check("pings_by_type_top", ["fleet_kpis"], f"""
 SELECT vessel_type, avg_sog AS avg_speed_kts, max_sog AS max_speed_kts, ping_count AS total_pings FROM fleet_kpis WHERE {_on_day}
 ORDER BY total_pings DESC, vessel_type LIMIT 5""")
@@ -420,7 +420,7 @@ SELECT kpi_date, vessel_type, ping_count, avg_sog AS avg_sog_kts, max_sog AS max
 ORDER BY ping_count DESC, vessel_type LIMIT 5""")
 check("speed_by_type", ["fleet_kpis"], f"""
 SELECT vessel_type, CAST(sum(ping_count) AS BIGINT) AS total_pings, {half_up('avg(avg_sog)', 2)} AS avg_speed_kts,
- max(max_sog) AS max_speed_kts FROM fleet_kpis GROUP BY vessel_type ORDER BY total_pings DESC, vessel_type LIMIT 50""")
+ max(max_sog) AS max_speed_kts FROM fleet_kpis GROUP BY vessel_type ORDER BY total_pings DESC, vessel_type""")
 check("grid_top_cells", ["grid"], f"""
 SELECT grid_lat, grid_lon, ping_count AS density_pings FROM grid WHERE {_on_day}
 ORDER BY density_pings DESC, grid_lat, grid_lon LIMIT 5""")
@@ -456,10 +456,10 @@ FROM clusters c LEFT JOIN state s ON s.mmsi = c.mmsi WHERE {_on_day} AND c.is_an
 ORDER BY c.distance_to_centroid DESC, c.mmsi LIMIT 5""")
 check("flagged_anomalies", ["clusters"], f"SELECT {_anom} AS flagged_anomalies FROM clusters")
 check("vessels_per_cluster", ["clusters"], """
-SELECT cluster_id, count(*) AS vessel_count FROM clusters GROUP BY cluster_id ORDER BY vessel_count DESC, cluster_id LIMIT 10""")
+SELECT cluster_id, count(*) AS vessel_count FROM clusters GROUP BY cluster_id ORDER BY vessel_count DESC, cluster_id""")
 check("cluster_behaviour", ["clusters"], f"""
 SELECT cluster_id, count(*) AS vessels, {_anom} AS anomalies_flagged, {_avg_sog} AS avg_speed_kts, {_avg_dist} AS avg_centroid_dist
-FROM clusters GROUP BY cluster_id ORDER BY cluster_id LIMIT 10""")
+FROM clusters GROUP BY cluster_id ORDER BY cluster_id""")
 check("cluster_label_counts", ["clusters"], """
 SELECT 'Cluster ' || CAST(cluster_id AS VARCHAR) AS cluster_label, count(*) AS vessel_count FROM clusters GROUP BY cluster_id""")
 check("anomaly_split", ["clusters"], """

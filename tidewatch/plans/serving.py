@@ -12,6 +12,7 @@ from tidewatch.functions.geo import wkt_point
 from tidewatch.functions.numbers import steady_round
 from tidewatch.operators import orderstats
 from tidewatch.operators.checks import row_counts
+from tidewatch.operators.shape import first_rows
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -51,12 +52,13 @@ def dwell_events_by_port(dwell: DataFrame, day: str) -> DataFrame:
     )
 
 
-def dwell_by_port(dwell: DataFrame, n: int = 20) -> DataFrame:
-    return (
+def dwell_by_port(dwell: DataFrame, n: int | None = None) -> DataFrame:
+    return first_rows(
         dwell.groupBy("port_id").agg(
             steady_round(F.avg("dwell_minutes"), 1).alias("avg_dwell_mins"), _rows().alias("dwell_events")
         )
-        .orderBy(F.desc("avg_dwell_mins"), "port_id").limit(n)
+        .orderBy(F.desc("avg_dwell_mins"), "port_id"),
+        n,
     )
 
 
@@ -84,14 +86,15 @@ def fleet_kpi_top(fleet: DataFrame, day: str, n: int = 5) -> DataFrame:
     )
 
 
-def speed_by_type(fleet: DataFrame, n: int = 50) -> DataFrame:
-    return (
+def speed_by_type(fleet: DataFrame, n: int | None = None) -> DataFrame:
+    return first_rows(
         fleet.groupBy("vessel_type").agg(
             F.sum("ping_count").alias("total_pings"),
             steady_round(F.avg("avg_sog"), 2).alias("avg_speed_kts"),
             F.max("max_sog").alias("max_speed_kts"),
         )
-        .orderBy(F.desc("total_pings"), "vessel_type").limit(n)
+        .orderBy(F.desc("total_pings"), "vessel_type"),
+        n,
     )
 
 
@@ -188,22 +191,24 @@ def flagged_anomalies(clusters: DataFrame) -> DataFrame:
     return clusters.agg(_count_if("is_anomaly").alias("flagged_anomalies"))
 
 
-def vessels_per_cluster(clusters: DataFrame, n: int = 10) -> DataFrame:
-    return (
+def vessels_per_cluster(clusters: DataFrame, n: int | None = None) -> DataFrame:
+    return first_rows(
         clusters.groupBy("cluster_id").agg(_rows().alias("vessel_count"))
-        .orderBy(F.desc("vessel_count"), "cluster_id").limit(n)
+        .orderBy(F.desc("vessel_count"), "cluster_id"),
+        n,
     )
 
 
-def cluster_behaviour(clusters: DataFrame, n: int = 10) -> DataFrame:
-    return (
+def cluster_behaviour(clusters: DataFrame, n: int | None = None) -> DataFrame:
+    return first_rows(
         clusters.groupBy("cluster_id").agg(
             _rows().alias("vessels"),
             _count_if("is_anomaly").alias("anomalies_flagged"),
             steady_round(F.avg("sog_knots"), 2).alias("avg_speed_kts"),
             steady_round(F.avg("distance_to_centroid"), 4).alias("avg_centroid_dist"),
         )
-        .orderBy("cluster_id").limit(n)
+        .orderBy("cluster_id"),
+        n,
     )
 
 

@@ -259,8 +259,13 @@ def uniqueness_violations(spark, d):
 
 @query
 def csv_replay(spark, d):
+    """Files in two column orders and one without vessels, each read by its own header."""
     path = scratch_path(spark, "csv")
-    files.write_csv(src.raw_pings(spark, d).drop("event_id"), path)
+    raw = src.raw_pings(spark, d)
+    even, odd = raw.filter("event_id % 2 = 0").drop("event_id"), raw.filter("event_id % 2 <> 0").drop("event_id")
+    files.write_csv(even, f"{path}/part=1")
+    files.write_csv(odd.select(*reversed(odd.columns)), f"{path}/part=2")
+    files.write_csv(odd.select("BaseDateTime", "LAT"), f"{path}/part=3")
     messages = pings.to_messages(files.read_ragged_csv(spark, path))
     fields = "BaseDateTime STRING, LAT STRING, LON STRING, SOG STRING, VesselName STRING"
     return messages.select("key", F.from_json("value", fields).alias("_m")).select("key", "_m.*")
@@ -299,7 +304,7 @@ def movement_distance(spark, d):
 
 @query
 def sliding_acceleration(spark, d):
-    rows = motion.sliding_acceleration(src.pings(spark, d))
+    rows = motion.sliding_acceleration(src.pings(spark, d), TIE)
     return rows.withColumn("acceleration", F.round("acceleration", 9))
 
 
