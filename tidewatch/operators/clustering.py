@@ -152,3 +152,23 @@ def top_outliers(assigned: DataFrame, n: int = 20) -> DataFrame:
         .orderBy(F.desc("distance_to_centroid"), "mmsi", "lat", "lon")
         .limit(n)
     )
+
+
+def fit_facts(features: DataFrame, model: PipelineModel, inputs: Sequence[str] = FEATURES, pct: float = 95.0) -> DataFrame:
+    """What holds for any fit, whatever its labels: per input the mean and deviation the model standardises with, the rows
+    fitted, the rows whose assigned centre is not the model's own choice, and whether the flagged share fits the percentile."""
+    centres = centres_of(model, inputs)
+    chosen = model.transform(features).withColumnRenamed("cluster_id", "chosen").drop("features", "scaled_features")
+    assigned = materialize(assign(chosen, centres), "assigned")
+    flagged = flag_anomalies(assigned, thresholds(assigned, pct))
+    per_cluster = flagged.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("chosen") != F.col("cluster_id")).alias("off"), F.count_if("is_anomaly").alias("beyond")
+    )
+    # percentile_approx may be off by n / 10000 ranks
+    fits = F.abs(F.col("beyond") - F.col("n") * (1 - pct / 100)) <= 1 + F.col("n") / 10_000
+    total = per_cluster.agg(F.sum("n").alias("fitted_rows"), F.sum("off").alias("misassigned"), F.every(fits).alias("share_fits"))
+    scales = F.array(*[
+        F.struct(F.lit(name).alias("input"), F.lit(mean).alias("mean"), F.lit(deviation).alias("deviation"))
+        for name, mean, deviation in zip(centres.inputs, centres.shift, centres.scale, strict=True)
+    ])
+    return total.select(F.inline(scales), "fitted_rows", "misassigned", "share_fits")

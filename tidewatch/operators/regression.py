@@ -37,3 +37,9 @@ def sample_tsv(rows: DataFrame, fraction: float, seed: int = 1234) -> DataFrame:
     """A random share of the rows as tab-separated lines."""
     line = F.concat_ws("\t", *[F.col(c).cast("string") for c in rows.columns])
     return rows.sample(withReplacement=False, fraction=fraction, seed=seed).select(line.alias("line"))
+
+
+def hash_sample(rows: DataFrame, key: str, fraction: float, seed: int = 1234) -> DataFrame:
+    """A share of the rows chosen by a hash of `key`: the same rows on every run, engine and partitioning."""
+    digits = F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), F.lit(8))
+    return rows.filter(digits < F.lit(f"{round(fraction * 16**8):08x}"))

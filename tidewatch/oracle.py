@@ -387,6 +387,22 @@ GROUP BY p.port_id""")
 # --- clustering
 
 check("cluster_features", ["features"], "SELECT * FROM features")
+_facts = ", ".join(
+    f"('{c}', (SELECT round(avg({c}), 6) FROM {{0}}), (SELECT round(stddev_samp({c}), 6) FROM {{0}}))"
+    for c in ("sog_knots", "cog_degrees", "lat", "lon")
+)
+check("kmeans_fit_facts", ["features"], f"""
+SELECT input, mean, deviation, (SELECT count(*) FROM features) AS fitted_rows, 0 AS misassigned, true AS share_fits
+FROM (VALUES {_facts.format('features')}) AS v(input, mean, deviation)""")
+_headed = "headed AS (SELECT f.*, p.heading AS heading_degrees FROM features f JOIN fleet_pings p USING (event_id) WHERE p.heading BETWEEN 0 AND 360)"
+check("kmeans_heading_fit_facts", ["features"], f"""
+, {_headed}
+SELECT input, mean, deviation, (SELECT count(*) FROM headed) AS fitted_rows, 0 AS misassigned, true AS share_fits
+FROM (VALUES {_facts.format('headed')}, ('heading_degrees', (SELECT round(avg(heading_degrees), 6) FROM headed),
+  (SELECT round(stddev_samp(heading_degrees), 6) FROM headed))) AS v(input, mean, deviation)""")
+check("hash_sampled_lines", ["pings"], """
+SELECT concat_ws(chr(9), CAST(event_id AS VARCHAR), CAST(CAST(round(lat * 10000) AS BIGINT) AS VARCHAR), CAST(CAST(round(lon * 10000) AS BIGINT) AS VARCHAR)) AS line
+FROM pings WHERE left(md5('1234:' || event_id), 8) < 'd999999a'""")
 check("cluster_assignment", ["assigned"], """
 SELECT event_id, mmsi, CAST(cluster_id AS INTEGER) AS cluster_id, round(distance, 9) AS distance_to_centroid FROM assigned""")
 check("distance_percentile_exact", ["thresholds"], """

@@ -374,6 +374,22 @@ def kmeans_clusters(spark, d):
     return serving.cluster_summary(result)
 
 
+def _fit_facts(features, inputs):
+    facts = clustering.fit_facts(features, clustering.fit(features, inputs=inputs), inputs)
+    return facts.withColumns({"mean": F.round("mean", 6), "deviation": F.round("deviation", 6)})
+
+
+@query
+def kmeans_fit_facts(spark, d):
+    return _fit_facts(materialize(_features(spark, d), "features"), clustering.FEATURES)
+
+
+@query
+def kmeans_heading_fit_facts(spark, d):
+    features = clustering.feature_rows(src.fleet_pings(spark, d), carry=TIE, heading=True)
+    return _fit_facts(materialize(features, "features"), (*clustering.FEATURES, clustering.HEADING))
+
+
 @query
 def kmeans_outliers(spark, d):
     """Top 20 outliers of the older script, which puts the position first."""
@@ -628,6 +644,14 @@ def sine_and_surface(spark, d):
     )
 
 
+@query
+def hash_sampled_lines(spark, d):
+    """85 % of the ping positions, in ten-thousandths of a degree, as tab-separated lines."""
+    rows = regression.hash_sample(src.pings(spark, d), "event_id", 0.85)
+    whole = [F.round(F.col(c) * 10_000).cast("long").cast("string") for c in ("LAT", "LON")]
+    return rows.select(F.concat_ws("\t", F.col("event_id").cast("string"), *whole).alias("line"))
+
+
 @query
 def sampled_lines(spark, d):
     """A random 85 % of the vectors' first two parts as tab-separated lines."""
