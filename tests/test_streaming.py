@@ -153,11 +153,26 @@ def test_live_geofence_equals_batch_across_batches_and_retries(spark, tmp_path):
         part = pings_.filter(F.col("event_id").between(lo, hi - 1))
         live.add(part, batch_id)
         live.add(part, batch_id)
+    live.finish(99)
     columns = ("mmsi", "zone_id", "event_type", "event_time", "event_id")
     want = zones.geofence_events(pings_, schemas.zones(spark), ["event_id"])
     assert rows(spark.read.parquet(live.events), *columns) == rows(want, *columns) and want.count() == 14
 
 
+def test_live_geofence_puts_late_pings_in_their_place(spark, tmp_path):
+    inside, outside = (31.25, 32.30), (31.0, 32.0)
+    data = [(k, 1, T0 + dt.timedelta(minutes=m), *spot) for k, (m, spot) in enumerate([(0, outside), (10, inside), (5, inside), (20, outside), (1, inside)])]
+    schema = "event_id long, MMSI long, BaseDateTime timestamp, LAT double, LON double"
+    live = windows.LiveGeofence(spark, str(tmp_path / "g"), schemas.zones(spark), ["event_id"])
+    for batch_id, part in enumerate((data[:2], data[2:4], data[4:])):
+        live.add(spark.createDataFrame(part, schema), batch_id)
+    live.finish(99)
+    columns = ("mmsi", "zone_id", "event_type", "event_time", "event_id")
+    want = zones.geofence_events(spark.createDataFrame(data[:4], schema), schemas.zones(spark), ["event_id"])
+    assert rows(spark.read.parquet(live.events), *columns) == rows(want, *columns)
+    assert [r[2] for r in sorted(rows(want, *columns), key=lambda r: r[3])] == ["ENTER", "INSIDE", "EXIT"]
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     path = write_messages(spark, str(tmp_path / "in"), [ping(A, 60)], [ping(A, 61)], [ping(A, 30), ping(A, 62)], [ping(A, 5)])
     cleaned = stream_cleaning.clean_streams(sources.replay_stream(spark, path)).cleaned

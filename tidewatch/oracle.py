@@ -194,6 +194,7 @@ def check(name: str, uses: list[str], body: str) -> None:
 _DWELL_COLUMNS = "kpi_date, mmsi, port_id, entry_ts, exit_ts, ping_count, dwell_minutes"
 check("port_dwell_sessions", ["dwell"], f"SELECT {_DWELL_COLUMNS} FROM dwell")
 check("session_dwell_stream", ["dwell"], f"SELECT {_DWELL_COLUMNS} FROM dwell")
+check("session_dwell_batches", ["dwell"], f"SELECT {_DWELL_COLUMNS} FROM dwell")
 check("port_dwell_across_days", ["visits"], f"""
 SELECT CAST(entry_ts AS DATE) AS kpi_date, mmsi, port_id, entry_ts, exit_ts, ping_count, {_MINUTES} AS dwell_minutes
 FROM ({_sessions('mmsi, port_id')}) q""")

@@ -539,7 +539,9 @@ def running_total_stream(spark, d):
 def geofence_events_stream(spark, d):
     path = scratch_path(spark, "geofence")
     live = windows.LiveGeofence(spark, path, schemas.zones(spark), TIE)
-    windows.drain_batches(src.pings_of(src.event_stream(spark, d)), live.add, f"{path}/checkpoint")
+    stream = src.pings_of(src.event_batches(spark, d, f"{path}/input"))
+    windows.drain_batches(stream, live.add, f"{path}/checkpoint")
+    live.finish(1_000_000)
     rows = spark.read.parquet(live.events).drop("batch_id")
     return rows.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
@@ -557,11 +559,9 @@ def tumbling_counts_stream(spark, d):
     return rows.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
-@query
-def session_dwell_stream(spark, d):
-    path = scratch_path(spark, "dwell")
+def _streamed_dwell(spark, stream, path):
     visits = windows.IncrementalDwell(f"{path}/rows", schemas.ports(spark))
-    windows.drain_batches(src.pings_of(src.event_stream(spark, d)), visits.add, f"{path}/checkpoint")
+    windows.drain_batches(src.pings_of(stream), visits.add, f"{path}/checkpoint")
     rows = visits.read(spark)
     return rows.select(
         "kpi_date", "mmsi", "port_id", F.col("entry_ts").cast("timestamp_ntz").alias("entry_ts"),
@@ -569,6 +569,18 @@ def session_dwell_stream(spark, d):
     )
 
 
+@query
+def session_dwell_stream(spark, d):
+    return _streamed_dwell(spark, src.event_stream(spark, d), scratch_path(spark, "dwell"))
+
+
+@query
+def session_dwell_batches(spark, d):
+    """The same visits from several batches whose ends are out of order."""
+    path = scratch_path(spark, "dwell")
+    return _streamed_dwell(spark, src.event_batches(spark, d, f"{path}/input"), path)
+
+
 @query
 def stream_fanout(spark, d):
     """Rows in each of the five sinks after draining the events as messages."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +12,7 @@ from tidewatch.operators.dwell import (
     DAY_KEYS, GAP_SECONDS, dwell_minutes, merge_slices, port_visits, session_slices, sessions_from_slices,
 )
 from tidewatch.operators.zones import geofence_events
+from tidewatch.session import materialize
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import write_batch
 
@@ -81,31 +81,49 @@ class IncrementalDwell:
 
 
 class LiveGeofence:
-    """Geofence events batch by batch; the last position per vessel is kept between batches.
+    """Geofence events batch by batch, equal to the batch operator for pings up to `lateness` out of order.
 
-    Pings are expected in time order per vessel from batch to batch, as a live feed delivers them.
+    Between batches the table of positions holds every ping that is not `lateness` older than the newest one, and the
+    newest older ping of each vessel. An event is written when its ping falls out of that window, so later arrivals
+    inside it still take their place; `finish` writes the rest. A ping behind the last written one of its
+    vessel comes too late and is left out.
     """
 
-    def __init__(self, spark: SparkSession, base: str, zones: DataFrame, tiebreak: list[str]):
+    def __init__(self, spark: SparkSession, base: str, zones: DataFrame, tiebreak: list[str], lateness: str = "10 minutes"):
+        self.spark = spark
         self.events = f"{base}/events"
         self.positions = SnapshotTable(spark, f"{base}/positions")
         self.zones = zones
         self.tiebreak = tiebreak
+        self.lateness = lateness
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
         columns = ["MMSI", "BaseDateTime", *self.tiebreak, "LAT", "LON"]
         located = batch.select(*columns).filter(valid_position(F.col("LAT"), F.col("LON")))
+        self._advance(located.withColumn("settled", F.lit(False)), batch_id, self.lateness)
+
+    def finish(self, batch_id: int) -> None:
+        """Write the events of all pings held back, as batch `batch_id`."""
+        known = self.positions.read(before=batch_id)
+        if known is not None:
+            self._advance(known.limit(0), batch_id, "0 seconds")
+
+    def _advance(self, located: DataFrame, batch_id: int, lateness: str) -> None:
+        when = F.struct("BaseDateTime", *self.tiebreak)
         known = self.positions.read(before=batch_id)
-        track = located if known is None else known.unionByName(located)
-        found = geofence_events(track, self.zones, self.tiebreak)
         if known is not None:
-            seen = known.select(F.col("MMSI").alias("mmsi"), F.col("BaseDateTime").alias("event_time"), *self.tiebreak)
-            found = found.join(seen, ["mmsi", "event_time", *self.tiebreak], "left_anti")
-        write_batch(found, self.events, batch_id)
-        newest = ["BaseDateTime", *self.tiebreak]
-        self.positions.update(
-            located, batch_id, lambda old, new: last_per_key(old.unionByName(new), ["MMSI"], newest)
-        )
+            last = known.filter("settled").select(F.col("MMSI").alias("_vessel"), when.alias("_last"))
+            fresh = located.join(last, F.col("MMSI") == F.col("_vessel"), "left").filter(F.col("_last").isNull() | (when > F.col("_last")))
+            located = known.unionByName(fresh.drop("_vessel", "_last"))
+        track = materialize(located, "track")
+        newest = track.agg(F.max("BaseDateTime") - F.expr(f"INTERVAL {lateness}")).first()[0]
+        due = F.col("BaseDateTime") <= F.lit(newest)
+        found = geofence_events(track.drop("settled"), self.zones, self.tiebreak)
+        settled = track.filter("settled").select(F.col("MMSI").alias("mmsi"), F.col("BaseDateTime").alias("event_time"), *self.tiebreak)
+        written = found.filter(F.col("event_time") <= F.lit(newest)).join(settled, ["mmsi", "event_time", *self.tiebreak], "left_anti")
+        write_batch(written, self.events, batch_id)
+        ends = last_per_key(track.filter(due), ["MMSI"], ["BaseDateTime", *self.tiebreak]).withColumn("settled", F.lit(True))
+        self.positions.replace(track.filter(~due).unionByName(ends), batch_id)
 
 
 def late_rows(query: StreamingQuery) -> int:
