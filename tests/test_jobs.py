@@ -79,6 +79,22 @@ def test_command_line(spark, archive, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["fleet_daily_kpis"] > 0
 
 
+def test_database_flags_and_voyages(spark, archive, tmp_path, monkeypatch):
+    out, asked, exported = str(tmp_path / "out"), [], {}
+    monkeypatch.setattr(jobs.reference, "jdbc_ports", lambda s, url, properties: asked.append((url, properties)) or schemas.ports(s))
+    monkeypatch.setattr(jobs.tables, "jdbc_append", lambda rows, url, table, properties: exported.update({table: (rows.count(), url, properties)}))
+    jobs.main([
+        "daily-kpis", "--exec-date", DAY, "--archive", archive, "--out", out, "--ports-url", "jdbc:p", "--ports-property", "user=u",
+        "--ports-property", "password=a=b", "--export-url", "jdbc:x", "--export-property", "driver=d", "--voyages", str(tmp_path / "voyages"),
+    ])
+    assert asked == [("jdbc:p", {"user": "u", "password": "a=b"})] and set(exported) == set(jobs.KPI_TABLES)
+    visits = files.read_day(spark, f"{out}/port_dwell_times", DAY, "kpi_date").count()
+    assert exported["port_dwell_times"] == (visits, "jdbc:x", {"driver": "d"})
+    assert spark.read.parquet(str(tmp_path / "voyages")).count() == visits
+    with pytest.raises(SystemExit):
+        jobs.main(["daily-kpis", "--exec-date", DAY, "--archive", archive, "--out", out, "--export-property", "novalue"])
+
+
 def test_legacy_csv_job(spark, tmp_path):
     (tmp_path / "in.csv").write_text("mmsi,timestamp,lat,lon,sog,cog\n1,t,1,2,3,4\n1,t,1,2,3,4\n2,t,95,2,3,4\n3,t,1,2,,4\n")
     jobs.clean_csv_legacy(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), "2024-12-25")

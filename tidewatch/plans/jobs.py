@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch import schemas
 from tidewatch.operators import checks, cleaning, clustering, dwell, kpis
 from tidewatch.plans.serving import cluster_summary
-from tidewatch.session import drop_scratch
+from tidewatch.session import drop_scratch, materialize
 from tidewatch.sinks import tables
 from tidewatch.sinks.kafka import publish
 from tidewatch.sources import files, pings, reference
@@ -25,7 +25,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def clean_history(messages: DataFrame, out: str, rejects_out: str | None = None) -> None:
     """Batch-clean a bounded set of messages into the archive, one directory per date."""
-    cleaned, rejected = cleaning.clean(cleaning.parse_json(messages), cleaning.BATCH)
+    parsed = cleaning.parse_json(messages)
+    # with rejects there are two results: the messages are parsed once for both
+    cleaned, rejected = cleaning.clean(materialize(parsed, "parsed") if rejects_out else parsed, cleaning.BATCH)
     tables.overwrite_by_date(cleaned, out, "date")
     if rejects_out:
         rejected.write.mode("overwrite").parquet(rejects_out)
@@ -112,6 +114,22 @@ def replay_csv(spark: SparkSession, path: str, servers: str, topic: str = pings.
     publish(pings.to_messages(files.read_ragged_csv(spark, path, max_rows)), servers, topic)
 
 
+def _property(text: str) -> tuple[str, str]:
+    key, equals, value = text.partition("=")
+    if not key or not equals:
+        raise argparse.ArgumentTypeError(f"expected KEY=VALUE, not {text!r}")
+    return key, value
+
+
+KPI_TABLES = ("port_dwell_times", "fleet_daily_kpis", "route_density_grid", "vessel_speed_alerts")
+
+
+def export_day(spark: SparkSession, out: str, day: str, url: str, properties: dict[str, str]) -> None:
+    """Append the rows of a day to the database tables of the same names."""
+    for name in KPI_TABLES:
+        tables.jdbc_append(files.read_day(spark, f"{out}/{name}", day, "kpi_date"), url, name, properties)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidewatch")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -120,7 +138,11 @@ def main(argv: list[str] | None = None) -> None:
     kpi.add_argument("--default-radius-nm", type=float, default=3.0)
     kpi.add_argument("--grid-cell-deg", type=float, default=0.05)
     kpi.add_argument("--speed-threshold", type=float, default=kpis.ALERT_KNOTS)
-    kpi.add_argument("--ports-url")
+    kpi.add_argument("--ports-url", help="JDBC address of the port table")
+    kpi.add_argument("--export-url", help="JDBC address to which the rows of the day are appended")
+    for flag in ("--ports-property", "--export-property"):
+        kpi.add_argument(flag, action="append", default=[], type=_property, metavar="KEY=VALUE", help="user, password, driver, ...")
+    kpi.add_argument("--voyages", help="folder for the port visits laid out by voyage date and port")
 
     clusters = jobs.add_parser("cluster")
     clusters.add_argument("--k", type=int, default=5)
@@ -168,11 +190,15 @@ def main(argv: list[str] | None = None) -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "daily-kpis":
-        ports = reference.jdbc_ports(spark, args.ports_url, {}) if args.ports_url else None
+        ports = reference.jdbc_ports(spark, args.ports_url, dict(args.ports_property)) if args.ports_url else None
         print(json.dumps(daily_kpis(
             spark, args.archive, args.out, args.exec_date, ports, default_radius_nm=args.default_radius_nm,
             grid_cell_deg=args.grid_cell_deg, threshold_knots=args.speed_threshold,
         )))
+        if args.voyages:
+            tables.write_dwell(files.read_all(spark, f"{args.out}/port_dwell_times"), args.voyages)
+        if args.export_url:
+            export_day(spark, args.out, args.exec_date, args.export_url, dict(args.export_property))
     elif args.job == "cluster":
         cluster_day(
             spark, args.archive, args.out, args.models, args.exec_date, k=args.k,
