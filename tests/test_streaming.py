@@ -176,12 +176,18 @@ def test_live_geofence_puts_late_pings_in_their_place(spark, tmp_path):
 def test_late_rows_are_counted(spark, tmp_path):
     path = write_messages(spark, str(tmp_path / "in"), [ping(A, 60)], [ping(A, 61)], [ping(A, 30), ping(A, 62)], [ping(A, 5)])
     cleaned = stream_cleaning.clean_streams(sources.replay_stream(spark, path)).cleaned
-    query = (
-        cleaned.writeStream.format("parquet").option("path", str(tmp_path / "rows"))
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert windows.late_rows(query) == 2
+    late = windows.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = (
+            cleaned.writeStream.format("parquet").option("path", str(tmp_path / "rows")).queryName("late_rows")
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.dropped["late_rows"] == 2
 
 
 def test_tumbling_stream_in_append_mode_closes_windows(spark, tmp_path, sf_dir):

@@ -19,6 +19,7 @@ from tidewatch.sinks.kafka import publish
 from tidewatch.sources import files, pings, reference
 from tidewatch.streaming.cleaning import clean_streams
 from tidewatch.streaming.fanout import FanOut, await_all, start_fan_out, start_fused
+from tidewatch.streaming.windows import LateRows
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -220,6 +221,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             pings.kafka_stream(spark, args.servers, args.topic, args.max_offsets)
             if args.servers else pings.replay_stream(spark, args.messages)
         )
+        spark.streams.addListener(LateRows())
         start = start_fused if args.fused else start_fan_out
         await_all(start(clean_streams(messages), FanOut(args.out, alert_servers=args.servers), args.live_seconds))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewatch.functions.geo import valid_position
 from tidewatch.operators.dedup import last_per_key
@@ -126,13 +128,28 @@ class LiveGeofence:
         self.positions.replace(track.filter(~due).unionByName(ends), batch_id)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that a query has dropped so far because they lay behind the watermark."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that queries have dropped because they lay behind the watermark, added up batch by batch and reported."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(event.name or str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        late = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        name = progress.name or str(progress.id)
+        self.dropped[name] = self.dropped.get(name, 0) + late
+        if late:
+            logging.getLogger(__name__).warning("%s: %d late rows in batch %d, %d so far", name, late, progress.batchId, self.dropped[name])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def drain_append(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
