@@ -146,10 +146,12 @@ def learn(docs: DataFrame, lang: str = "lang") -> dict:
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """The documents with lang_pred and score, the cosine cut off at 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, made = docs.sparkSession.sparkContext.broadcast(model), {}
 
     def classify(texts):
-        model, table, letters = shared.value, symbol_table(), letter_vectors()
+        if not made:
+            made.update(table=symbol_table(), letters=letter_vectors())
+        model, table, letters = shared.value, made["table"], made["letters"]
         names, prototypes = model["names"], model["prototypes"]
         lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if not names:

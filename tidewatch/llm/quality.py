@@ -36,7 +36,7 @@ TRAINING_ROWS = 20_000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 256, 3e-3
 #: Every k-th training document calibrates instead.
 CALIBRATION = 5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -214,10 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", *, rows: int
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """The documents with score (chance of label 1) and predicted (1 if score >= 0.5)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, buckets = docs.sparkSession.sparkContext.broadcast(model), Buckets()
 
     def make(texts):
-        net, buckets = shared.value["net"], Buckets()
+        net = shared.value["net"]
         if net is None:
             return np.full(len(texts), 0.5), np.ones(len(texts), np.int32)
         out = np.zeros(len(texts))

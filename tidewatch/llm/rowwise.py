@@ -11,6 +11,16 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: Rows that are turned into Python values together. Arrow batches may be large; a slice of one is no copy.
+SLICE_ROWS = 512
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(first, SLICE_ROWS)
+
+
 def without(docs: DataFrame, names: Sequence[str]) -> DataFrame:
     """`docs` without columns of these names, in any case: results replace them."""
     taken = {n.lower() for n in names}
@@ -21,7 +31,8 @@ def with_columns(docs: DataFrame, schema: str, make: Callable[..., Sequence], of
     """Append the columns that `make` computes from the values of the columns `of`, batch by batch.
 
     `make` gets a list of values per column and returns one list or array per new column. A column of `docs` with the
-    name of a result is replaced. Rows, their order and their partitions stay; nothing is shuffled.
+    name of a result is replaced. Rows, their order and their partitions stay; nothing is shuffled. `make` is called often: what it
+    keeps from call to call belongs in an object it closes over, of which every task has its own.
     """
     added = T.StructType.fromDDL(schema)
     kept = without(docs, [f.name for f in added])
@@ -32,7 +43,7 @@ def with_columns(docs: DataFrame, schema: str, make: Callable[..., Sequence], of
     names = [*kept.columns, *arrow.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = make(*[batch.column(i).to_pylist() for i in index])
             new = [m if isinstance(m, pa.Array) else pa.array(m, f.type) for m, f in zip(made, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
@@ -46,7 +57,7 @@ def emit(rows: DataFrame, schema: str, make: Callable[[Iterator[pa.RecordBatch]]
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for made in make(batches):
+        for made in make(slices(batches)):
             new = [m if isinstance(m, pa.Array) else pa.array(m, f.type) for m, f in zip(made, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays(new, names=arrow.names)
 

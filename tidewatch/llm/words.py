@@ -15,10 +15,10 @@ import numpy as np
 _KEPT = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEPT else 0x20 for c in range(256))
 
-#: Characters handled together; keeps the arrays of one step in tens of megabytes however long a batch is.
-STEP_CHARS = 1_000_000
+#: Characters handled together; keeps the arrays of one step in some megabytes however long a batch is.
+STEP_CHARS = 250_000
 #: Remembered word hashes per worker; the table is emptied when full, which changes no result.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 
 
 def split_words(text: str | None) -> list[bytes]:
