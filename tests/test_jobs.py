@@ -153,3 +153,13 @@ def test_dwell_layout_and_sample(spark, sf_dir, tmp_path):
     got = files.read_all(spark, str(tmp_path / "v"))
     assert got.count() == visits.count() and {"voyage_date", "port"} <= set(got.columns)
     assert tables.console_sample(src.pings(spark, sf_dir)).count() == 20
+
+
+def test_months_of_every_year(spark):
+    days = [("1995-02-01",)] * 57 + [("1996-02-01",)] * 58 + [("2001-12-31",)] * 31 + [(None,)]
+    orders = spark.createDataFrame(days, "d string").select(F.to_date("d").alias("d"))
+    counts = reports.month_year_counts(orders, "d")
+    assert rows(counts, "month", "year", "n") == [(12, 2001, 31), (2, 1995, 57), (2, 1996, 58), (None, None, 1)]
+    assert rows(reports.month_year_per_day(counts), "month_name", "year", "per_day") == [
+        ("Dec", 2001, 1), ("Feb", 1995, 2), ("Feb", 1996, 2), (None, None, None),
+    ]

@@ -582,6 +582,12 @@ FROM orders GROUP BY month(o_orderdate) HAVING {' AND '.join(f'count(*) FILTER (
 check("monthly_pivot", [], _pivot)
 check("avg_per_day", [], f"""
 SELECT month, month_name, {', '.join(f"y{y} // day(last_day(make_date({y}, month, 1))) AS y{y}" for y in YEARS)} FROM ({_pivot}) p""")
+_by_year = f"""
+SELECT CAST(month(o_orderdate) AS INTEGER) AS month, {_names}[month(o_orderdate)] AS month_name,
+ CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY ALL"""
+check("month_year_counts", [], _by_year)
+check("month_year_per_day", [], f"""
+SELECT month, month_name, year, n // day(last_day(make_date(year, month, 1))) AS per_day FROM ({_by_year}) c""")
 check("least_squares", [], """
 WITH s AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_discount) AS b, sum(l_discount * l_discount) AS c,
  sum(l_quantity * (l_extendedprice / 1000.0)) AS p, sum(l_discount * (l_extendedprice / 1000.0)) AS q FROM lineitem)

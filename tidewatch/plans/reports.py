@@ -40,7 +40,7 @@ def monthly_counts(rows: DataFrame, best: DataFrame, key: str, date: str) -> Dat
 
 
 def month_pivot(rows: DataFrame, date: str, years: Sequence[int]) -> DataFrame:
-    """One row per month and one count column per year, for months all years have."""
+    """One row per month and one count column per year given, for months all of them have; `month_year_counts` has every year."""
     counted = rows.groupBy(F.month(date).alias("month")).agg(*[
         F.count_if(F.year(date) == year).alias(f"y{year}") for year in years
     ])
@@ -53,9 +53,22 @@ def month_pivot(rows: DataFrame, date: str, years: Sequence[int]) -> DataFrame:
     )
 
 
-def days_in_month(month: Column, year: int) -> Column:
+def month_year_counts(rows: DataFrame, date: str) -> DataFrame:
+    """Rows per month and year, for all years of the table; rows without date keep a line of their own."""
+    counted = rows.groupBy(F.month(date).alias("month"), F.year(date).alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    name = F.when(F.col("month").isNotNull(), month_label(F.col("month")))
+    return counted.select("month", name.alias("month_name"), "year", "n").orderBy("month", "year")
+
+
+def month_year_per_day(counts: DataFrame) -> DataFrame:
+    """Counts of `month_year_counts` per day of the month, cut to whole numbers."""
+    days = F.when(F.col("month").isNotNull(), days_in_month(F.col("month"), F.col("year")))
+    return counts.select("month", "month_name", "year", F.floor(F.col("n") / days).cast("long").alias("per_day"))
+
+
+def days_in_month(month: Column, year: Column | int) -> Column:
     """Every fourth year is taken as a leap year."""
-    february = 29 if year % 4 == 0 else 28
+    february = F.when(F.lit(year) % 4 == 0, 29).otherwise(28)
     return F.when(month == 2, february).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
 
 

@@ -638,6 +638,16 @@ def avg_per_day(spark, d):
     return reports.average_per_day(reports.month_pivot(src.table(spark, d, "orders"), "o_orderdate", YEARS), YEARS)
 
 
+@query
+def month_year_counts(spark, d):
+    return reports.month_year_counts(src.table(spark, d, "orders"), "o_orderdate")
+
+
+@query
+def month_year_per_day(spark, d):
+    return reports.month_year_per_day(reports.month_year_counts(src.table(spark, d, "orders"), "o_orderdate"))
+
+
 @query
 def least_squares(spark, d):
     rows = src.table(spark, d, "lineitem").withColumn("price", F.col("l_extendedprice") / 1000.0)
