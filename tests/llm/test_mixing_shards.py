@@ -120,3 +120,31 @@ def test_shards_odd_rows(spark, odd_docs, no_docs):
     index = shards.materialise(odd_docs)
     assert index.count() == odd_docs.count() and index.filter("doc_id IN (2, 3)").agg(F.sum("n_tokens")).first()[0] == 0
     assert shards.materialise(no_docs).count() == 0
+
+
+def test_permutation_refuses_numbers_beyond_its_count():
+    with pytest.raises(ValueError):
+        shards.permute(np.array([0, 70]), 10)
+
+
+@pytest.mark.parametrize("case", ["filter", "explode", "limit", "sample", "union", "columns", "view"])
+def test_parts_and_multiples_of_a_stored_table(spark, tmp_path, case):
+    texts = {k: words(k, 1 + k % 7) for k in range(400)}
+    stored = str(tmp_path / "docs")
+    spark.createDataFrame([(k, t, "en", "s", 0) for k, t in texts.items()], DOC).repartition(2).write.parquet(stored)
+    docs = spark.read.parquet(stored)
+    docs.createOrReplaceTempView("stored_docs")
+    docs = {
+        "filter": lambda: docs.filter("doc_id % 100 = 7"), "explode": lambda: docs.selectExpr("*", "explode(array(1, 2, 3)) AS copy"),
+        "limit": lambda: docs.limit(30), "sample": lambda: docs.sample(0.2), "union": lambda: docs.union(docs),
+        "columns": lambda: docs.withColumn("more", F.length("text")).select("text", "doc_id"), "view": lambda: spark.table("stored_docs"),
+    }[case]()
+    assert shards.whole_scan(docs) == (case in ("columns", "view"))
+    index = shards.materialise(docs, str(tmp_path / "shards"), documents=16).collect()
+    assert sorted(r.slot for r in index) == list(range(len(index)))
+    copies = {"filter": 4, "explode": 1200, "limit": 30, "union": 800, "columns": 400, "view": 400}
+    assert len(index) == copies.get(case, len(index)) > 0
+    encoder = shards._encoder(shards.VOCABULARY)
+    for r in index:
+        want = np.array(encoder.encode_ordinary(texts[r.doc_id]), "<u2")
+        assert r.tokens_sha256 == hashlib.sha256(want.tobytes()).hexdigest()

@@ -48,6 +48,8 @@ STRETCH = 400_000
 
 def permute(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
     """The slot of each number below `count`: a Feistel network with cycle-walking."""
+    if len(numbers) and not 0 <= numbers.min() <= numbers.max() < count:
+        raise ValueError(f"numbers must lie in [0, {count})")  # others would walk for ever or share a slot
     half = max(1, ((max(count, 2) - 1).bit_length() + 1) // 2)
     mask = np.uint64((1 << half) - 1)
     out = numbers.astype(np.uint64)
@@ -62,12 +64,22 @@ def permute(numbers: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def whole_scan(docs: DataFrame) -> bool:
+    """Whether the rows are those of stored files, each once: nothing but columns is chosen between the scan and here."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "SubqueryAlias", "View"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, text and number (0, 1, ... in stored order), and how many there are. Rows that are no stored table are stored first."""
+    """doc_id, text and number (0, 1, ... in stored order), and how many there are. Rows that are no whole stored table are stored first."""
     place = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     try:
-        rows = docs.select("doc_id", "text", *place)
+        rows = docs.select("doc_id", "text", *place) if whole_scan(docs) else None
     except AnalysisException:
+        rows = None
+    if rows is None:
         docs = materialize(docs.select("doc_id", "text"), "documents")
         rows = docs.select("doc_id", "text", *place)
     files = docs.select(place[0]).groupBy("file").agg(F.count(F.lit(1)).alias("held"))
