@@ -60,3 +60,15 @@ def test_odd_vectors(spark):
     assert [tuple(r) for r in out] == [(10, 1, 1, 0.0), (10, 2, 20, root), (20, 1, 1, root), (20, 2, 10, root)]
     empty = op.nearest(spark.createDataFrame([], SCHEMA), asked())
     assert empty.count() == 0 and empty.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+@pytest.mark.parametrize("size", [24, 100])
+def test_copies_of_a_query_in_many_leaves(spark, size):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(1500, size)).astype(np.float32)
+    data[rng.permutation(1500)[:900]] = data[0]
+    frame = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(data)], SCHEMA).coalesce(1)
+    same = [k for k, v in enumerate(data) if k and np.array_equal(v, data[0])]
+    # a single query is multiplied in another order than a block of rows
+    found = op.nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(k, 0.0) for k in same[:10]]

@@ -4,7 +4,8 @@ Vectors are projected to `PROJECTED` dimensions by a fixed Gaussian matrix. Squa
 a chi-square law with as many degrees of freedom, d being the true distance. Every task indexes the projections of its block of rows in a
 kd-tree and takes the leaves in the order of their projected distance from the query; candidates are verified on the original
 vectors. The search of a query in a block stops when the next leaf is so far that a vector nearer than the present k-th neighbour
-would lie there with a chance of at most `MISS`. That k-th distance starts from the best found in the block.
+would lie there with a chance of at most `MISS`; rounding is allowed for, so all copies of a query are met. That k-th
+distance starts from the best found in the block.
 
 All rows are indexed, `BLOCK` at a time. Queries are dealt in blocks of `QUERIES` and meet all blocks of rows; each
 pair of blocks hands on k rows per query at most, which a ranking joins. No block is bound to a key, so nothing can be hot.
@@ -101,16 +102,22 @@ def squared(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(apart * apart, axis=1)[:, -1]
 
 
-def search(tree: Tree, rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, seen: np.ndarray, k: int, reach: float):
-    """(ids, distances) of the k nearest rows found; `rows` and `ids` are in leaf order, `seen` the projected query."""
+def rounding(queries: np.ndarray, plane: np.ndarray) -> np.ndarray:
+    """How far apart the projections of equal vectors may come out at most: a bound on the error of two sums of products."""
+    return 4 * queries.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(queries, axis=1) * np.linalg.norm(plane)
+
+
+def search(tree: Tree, rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, seen: np.ndarray, k: int, reach: float, slack: float):
+    """(ids, distances) of the k nearest rows found; `rows` and `ids` are in leaf order, `seen` the projected query with an error of `slack`."""
     best_ids, best = np.zeros(0, np.int64), np.zeros(0)
     for bound, first, last in tree.leaves(seen):
-        if len(best) == k and bound > reach * best[-1]:
-            break
         at = np.arange(first, last)
         if len(best) == k:
+            limit = (math.sqrt(reach * best[-1]) + slack) ** 2
+            if bound > limit:
+                break
             apart = tree.points[first:last] - seen
-            at = at[np.einsum("ij,ij->i", apart, apart) <= reach * best[-1]]
+            at = at[np.einsum("ij,ij->i", apart, apart) <= limit]
         at = at[ids[at] != own]
         if len(at):
             best, best_ids = np.append(best, squared(rows[at], query)), np.append(best_ids, ids[at])
@@ -151,12 +158,13 @@ def _found(rows: DataFrame, ids: list[int], vectors: np.ndarray, k: int, miss: f
         size = vectors.shape[1]
         plane = projection(size)
         seen = vectors @ plane
+        slack = rounding(vectors, plane)
         for held in blocks(batches):
             own = np.concatenate([b.column(0).to_numpy() for b in held])
             matrix = np.concatenate([_matrix(b, 1, size) for b in held])
             tree = Tree(matrix @ plane)
             matrix, own = matrix[tree.order], own[tree.order]
-            out = [search(tree, matrix, own, vectors[q], queries[q], seen[q], k, reach) for q in range(len(queries))]
+            out = [search(tree, matrix, own, vectors[q], queries[q], seen[q], k, reach, slack[q]) for q in range(len(queries))]
             yield (
                 np.repeat(np.array(queries, np.int64), [len(i) for i, _ in out]),
                 np.concatenate([i for i, _ in out]),
