@@ -72,3 +72,15 @@ def test_copies_of_a_query_in_many_leaves(spark, size):
     # a single query is multiplied in another order than a block of rows
     found = op.nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in found] == [(k, 0.0) for k in same[:10]]
+
+
+def test_an_id_of_many_vectors_is_a_candidate_with_each(spark):
+    rng = np.random.default_rng(4)
+    rows = [(0, [0.0, 1.0, 0.0])] + [(7, [0.0, 1.0, (k + 1) / 1000]) for k in range(4)] + [(k, [0.0, 1.0, float(k)]) for k in range(1, 30) if k != 7]
+    many = [(0, [0.0, 1.0, 0.0])] + [(7, [0.0, 1.0, (k + 1) / 1000]) for k in range(50)] + rows[5:]
+    for given in (rows, many):
+        given = [given[k] for k in rng.permutation(len(given))]
+        frame = spark.createDataFrame([(k, v, 0) for k, v in given], SCHEMA)
+        found = op.nearest(frame, F.col("vec_id") == 0).orderBy("rank", "vec_id").collect()
+        want = sorted((float(np.float32(v[2])), k) for k, v in given if k)[:10]
+        assert [(r.rank, r.vec_id, r.score) for r in found] == [(n, k, d) for n, (d, k) in enumerate(want, 1)]

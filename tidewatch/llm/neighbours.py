@@ -11,7 +11,8 @@ All rows are indexed, `BLOCK` at a time. Queries are dealt in blocks of `QUERIES
 pair of blocks hands on k rows per query at most, which a ranking joins. No block is bound to a key, so nothing can be hot.
 
 Vectors that are null, empty, all zero, or hold null or non-finite components take no part, nor do rows without id, nor
-rows whose length differs from that of the queries. Rows that repeat id and vector count once; a query id with several vectors uses the smallest one.
+rows whose length differs from that of the queries. Rows that repeat id and vector count once; an id with several
+vectors is a candidate with each of them, and as a query uses the smallest one.
 A query never finds a row of its own id. Ties go to the smaller id. Extra columns are ignored.
 """
 
@@ -193,7 +194,6 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = K, miss: float = MI
                 parts = found if parts is None else parts.union(found)
     if parts is None:
         parts = rows.limit(0).select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score"))
-    parts = parts.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = parts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
