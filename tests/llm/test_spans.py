@@ -137,3 +137,42 @@ def test_secrets_odd_rows(spark, odd_docs, no_docs):
     out = secrets.report(odd_docs)
     assert out.count() == odd_docs.count() and out.agg(F.count_if(F.col("spans") != "")).first()[0] == 0
     assert secrets.report(no_docs).count() == 0
+
+
+def test_runs_are_cut_into_pieces_that_one_alphabet_holds():
+    cut = lambda run: [run[s:e] for s, e in secrets.pieces(run)]
+    a, b, c = "Zk3" * 7, "9fQ" * 6, "x7_" * 6
+    assert cut(a) == [a] and cut(a + "==") == [a + "=="] and cut(f"{a}/{b}") == [f"{a}/{b}"]
+    assert cut(f"sig={a}") == ["sig", a] and cut(f"=client_key={a}==") == ["client_key", a + "=="] and cut("=" * 20) == []
+    assert cut(f"{a}+{b}_{a}{a}") == [a, f"{b}_{a}{a}"] and cut(f"dir/{c}-{b}") == [f"{c}-{b}"]
+    assert cut(f"{a}/{b}/{b}_{a}==") == [f"{a}/{b}/{b}", a + "=="] and cut("a-b+" * 9) == []
+    for run in ("a-b+" * 20_000 + a, f"{a}-{b}/" * 5000):
+        spans = list(secrets.pieces(run))
+        assert spans and all(e <= s for (_, e), (s, _) in zip(spans, spans[1:])) and all(secrets.encoding(run[s:e]) for s, e in spans)
+
+
+# the piece c/... of the prefixed one is tested as a whole, which costs some power
+SHAPES = [("sig={}", 0.9), ("client_key={}==", 0.9), ("?session={}", 0.9), ("ab-c/{}", 0.8), ("https://h.example/a_b/?key={}&x=1", 0.9)]
+
+
+@pytest.mark.parametrize(("shape", "share"), SHAPES)
+def test_battery_finds_random_tokens_after_names_and_prefixes(spark, shape, share):
+    rng = random.Random(6)
+    parts = "the ing tion and er on re in ed st an or nt ha th".split()
+    word = lambda: "".join(rng.choices(parts, k=rng.randrange(2, 9)))
+    docs, planted = [], {}
+    for k in range(300):
+        text = " ".join(word() for _ in range(150))
+        if k % 10 == 0:
+            planted[k] = "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+            text = f"{text} {shape.format(planted[k])} {word()}"
+        docs.append((k, text))
+    rows = {r.doc_id: r for r in secrets.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    hits = set()
+    for k, token in planted.items():
+        at = dict(docs)[k].index(token)
+        spans = [s.split(":") for s in rows[k].spans.split(",") if s.startswith("random:")]
+        if any(at - 2 <= int(start) <= at and at + 40 <= int(end) <= at + 42 for _, start, end in spans):
+            hits.add(k)
+    false = sum("random" in r.spans for d, r in rows.items() if d not in planted)
+    assert len(hits) >= share * len(planted) and false <= 2

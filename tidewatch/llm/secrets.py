@@ -2,7 +2,8 @@
 
 Base spans (assignments to secret names, access keys, long hex strings) always stay. Every further run of at least
 `SHORTEST` token characters is a candidate. Its encoding is inferred from the characters it uses (decimal, hex, base32,
-alphanumeric, base64), and the battery runs on its letters as numbers of that alphabet:
+alphanumeric, base64). A run is cut at = signs other than its padding, and what no alphabet holds (- or _ beside + or /) into the
+longest pieces that one does, each a candidate of its own. The battery runs on the letters as numbers of the alphabet:
 
 * chi-squared: are the letters spread evenly over the alphabet?
 * runs: do low and high letters alternate as often as they would by chance?
@@ -21,6 +22,7 @@ are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -40,6 +42,9 @@ BASE = {
 }
 SHORTEST = 16
 TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST
+#: What lies between = signs, with the padding of the run; and the largest alphabets, which hold all others.
+BETWEEN = r"[^=]+(?:=+\Z)?"
+WIDEST = (r"[A-Za-z0-9+/]+=*", r"[A-Za-z0-9_-]+=*")
 LEVEL, REJECT = 0.01, 1e-4
 #: Steps of the p-value grid, each a factor of 2 ** (1/4).
 GRID = 400
@@ -81,15 +86,51 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
+def longest_pieces(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of a run that one alphabet holds: the longest first, then the longest of what is left."""
+    waiting = [(m.start() - m.end(), m.start(), m.end()) for pattern in WIDEST for m in re.finditer(pattern, run)]
+    heapq.heapify(waiting)
+    used, found = bytearray(len(run)), []
+    while waiting and -waiting[0][0] >= SHORTEST:
+        _, start, end = heapq.heappop(waiting)
+        first, last = start, end
+        while first < last and used[first]:  # only the ends of a piece can lie in longer ones
+            first += 1
+        while last > first and used[last - 1]:
+            last -= 1
+        if (first, last) == (start, end):
+            used[start:end] = b"\1" * (end - start)
+            found.append((start, end))
+            continue
+        while first < last and first > start and run[first] in "+/_-":
+            first += 1
+        while first < last < end and run[last - 1] in "+/_-":
+            last -= 1
+        heapq.heappush(waiting, (first - last, first, last))
+    return sorted(found)
+
+
+def pieces(run: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the candidates in a run of token characters, in order."""
+    for m in re.finditer(BETWEEN, run):
+        if encoding(m.group()) is not None:
+            yield m.start(), m.end()
+        else:
+            for start, end in longest_pieces(m.group()):
+                yield m.start() + start, m.start() + end
+
+
 def other_tokens(text: str, taken: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
     """(start, end, token) of candidates that touch no base span."""
     spans = sorted((s, e) for s, _, e, _ in taken)
     k = 0
     for m in re.finditer(TOKEN, text):
-        while k < len(spans) and spans[k][1] <= m.start():
-            k += 1
-        if not any(s < m.end() and m.start() < e for s, e in spans[k : k + 3]):
-            yield m.start(), m.end(), m.group()
+        for start, end in pieces(m.group()):
+            start, end = m.start() + start, m.start() + end
+            while k < len(spans) and spans[k][1] <= start:
+                k += 1
+            if not any(s < end and start < e for s, e in spans[k : k + 3]):
+                yield start, end, text[start:end]
 
 
 def statistics(codes: np.ndarray, size: int) -> tuple[float, float, float]:
