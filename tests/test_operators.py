@@ -5,7 +5,7 @@ import pytest
 from helpers import haversine, rows
 from pyspark.sql import functions as F
 
-from tidewatch import schemas
+from tidewatch import registry, schemas
 from tidewatch.functions import geo, labels
 from tidewatch.operators import (
     checks, clustering, dedup, dwell, fleet_state, kpis, lookup, motion, orderstats, proximity, regression, sequences,
@@ -391,3 +391,9 @@ def test_reports_are_not_cut(spark):
     assert serving.dwell_by_port(ports).count() == 21 and serving.dwell_by_port(ports, 5).count() == 5
     clusters = spark.createDataFrame([(k, 1.0, 1.0, False) for k in range(12)], "cluster_id int, sog_knots double, distance_to_centroid double, is_anomaly boolean")
     assert serving.vessels_per_cluster(clusters).count() == 12 and serving.cluster_behaviour(clusters).count() == 12
+
+
+def test_sampled_lines_hold_whole_rows_of_two_columns(spark, sf_dir):
+    lines = {r.line for r in registry.sampled_lines(spark, sf_dir).collect()}
+    whole = regression.sample_tsv(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_quantity", "l_extendedprice"), 1.0)
+    assert lines and lines <= {r.line for r in whole.collect()}

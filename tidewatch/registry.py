@@ -676,6 +676,6 @@ def hash_sampled_lines(spark, d):
 
 @query
 def sampled_lines(spark, d):
-    """A random 85 % of the vectors' first two parts as tab-separated lines."""
-    rows = src.table(spark, d, "embeddings").select(F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    """A random 85 % of the ordered quantities and prices as tab-separated lines."""
+    rows = src.table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
     return regression.sample_tsv(rows, 0.85)
