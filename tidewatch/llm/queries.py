@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat, decontaminate, langid, mixing, neardup, neighbours, pii, quality, secrets, shards
+from tidewatch.llm import audit, chat, decontaminate, langid, mixing, neardup, neighbours, pii, quality, secrets, shards, spherical, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,6 +152,62 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@query
+def op12_spherical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spherical.groups(table(spark, sf_dir, "embeddings"))
+
+
+_SQL["op12_spherical"] = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+ok AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS len FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+link AS (SELECT a.rid AS x, b.rid AS y FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.rid <> b.rid
+  WHERE list_dot_product(a.e, b.e) / (a.len * b.len) >= 0.93),
+reach AS (SELECT rid, rid AS there FROM v UNION SELECT r.rid, l.y FROM reach r JOIN link l ON l.x = r.there),
+comp AS (SELECT r.rid, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.rid = r.there GROUP BY r.rid),
+deg AS (SELECT x AS rid, count(*) AS n FROM link GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN comp USING (rid) LEFT JOIN deg USING (rid)
+"""
+
+
+@query
+def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_SQL["op13_interactions"] = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, MAP {
+    'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+    'C': 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > first, false)} AS fails
+  FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY part, fails),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS fs FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT array_to_string(fs, '') AS filter_order, step, fs[step] AS own, fs[1:step - 1] AS earlier FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+x AS (SELECT c.*, s.*, fails[own] AS failed, len(list_filter(earlier, lambda k: fails[k])) > 0 AS gone,
+    len(list_filter(map_keys(fails), lambda k: fails[k])) = 1 AS single FROM c, s),
+g AS (SELECT part, filter_order, step, any_value(own) AS own, sum(CASE WHEN NOT gone AND NOT failed THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT gone AND failed THEN n ELSE 0 END) AS removed, sum(CASE WHEN gone AND failed THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed AND single THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN NOT gone AND failed THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND failed THEN toxic ELSE 0 END) AS toxic_lost FROM x GROUP BY part, filter_order, step)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
