@@ -144,8 +144,22 @@ def _added(rows: DataFrame, size: int, of, shape: tuple[int, ...]) -> np.ndarray
     return sum((np.frombuffer(t).reshape(shape) for _, t in found), np.zeros(shape))
 
 
+def root(gram: np.ndarray) -> np.ndarray:
+    """A matrix whose Gram matrix is `gram`: its Cholesky factor, or one by eigenvalues where it is not positive definite."""
+    try:
+        return np.linalg.cholesky(gram).T
+    except np.linalg.LinAlgError:
+        values, vectors = np.linalg.eigh(gram)
+        return np.sqrt(np.maximum(values, 0.0))[:, None] * vectors.T
+
+
+def rank(singular: np.ndarray) -> int:
+    """Directions with more variance than rounding leaves in one that has none."""
+    return int((singular > len(singular) * 32 * np.finfo(float).eps * singular.max()).sum())
+
+
 def factor(rows: DataFrame, centre: Centre) -> np.ndarray:
-    """A matrix R with RᵀR equal to the Gram matrix of the centred rows, upper triangular unless they lack full rank."""
+    """A matrix R with RᵀR equal to the Gram matrix of the centred rows, upper triangular if they have full rank."""
     size, context = len(centre.floor), rows.sparkSession.sparkContext
     chain: list[np.ndarray] = []
     product, one = np.eye(size), np.eye(size)
@@ -162,10 +176,10 @@ def factor(rows: DataFrame, centre: Centre) -> np.ndarray:
         found = _added(rows, size, gram, (size, size))
         found = (found + found.T) / 2
         scale = np.trace(found)
-        if scale == 0:
-            break
-        # orthogonal, but for directions in which there is nothing
-        if turn and (np.abs(found @ found - found).max() <= NEAR or turn == ROUNDS - 1):
+        composed = root(found) @ product
+        # done when all directions that hold anything are orthogonal
+        near = int((np.abs(np.linalg.eigvalsh(found) - 1) <= NEAR).sum())
+        if scale == 0 or turn and near >= rank(np.linalg.svd(composed, compute_uv=False)):
             break
         shift = 11 * (centre.n * size + size * (size + 1)) * np.finfo(float).eps / 2 * scale if turn == 0 else 0.0
         while True:
@@ -174,19 +188,15 @@ def factor(rows: DataFrame, centre: Centre) -> np.ndarray:
                 break
             except np.linalg.LinAlgError:
                 shift = max(10 * shift, size * np.finfo(float).eps * scale)
-        chain.append(last)
+        chain = [*chain, last]
         product = last @ product
-    try:
-        return np.linalg.cholesky(found).T @ product
-    except np.linalg.LinAlgError:
-        values, vectors = np.linalg.eigh(found)
-        return np.sqrt(np.maximum(values, 0.0))[:, None] * (vectors.T @ product)
+    return composed
 
 
 def fit(rows: DataFrame, centre: Centre, components: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit components (rows), their eigenvalues, and the share of the trace each explains."""
     _, singular, axes = np.linalg.svd(factor(rows, centre))
-    kept = (singular > len(singular) * 8 * np.finfo(float).eps * max(singular[0], 1e-300))[:components].sum()
+    kept = min(components, rank(singular))
     values = singular**2 / centre.n
     axes = axes[:kept]
     signs = np.sign(axes[np.arange(kept), np.abs(axes).argmax(axis=1)])
