@@ -78,6 +78,43 @@ def test_cycles_come_last_and_are_marked(spark, schemas):
     assert sorted(p for p, r in out.items() if r.cyclic) == [0, 1, 2, 3] and max(out[p].position for p in (4, 5, 6)) == 2
 
 
+def longest_paths(links):
+    """Level of every node by repeated relaxation; None for nodes on cycles and behind them."""
+    nodes = {x for pair in links for x in pair}
+    level = {}
+    while True:
+        free = {n for n in nodes - set(level) if all(b in level for b, a in links if a == n)}
+        if not free:
+            return {n: level.get(n) for n in nodes}
+        level |= {n: 1 + max((level[b] for b, a in links if a == n), default=0) for n in free}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_levels_are_longest_paths(spark, seed):
+    rng, rows, want = random.Random(seed), [], {}
+    for conv in range(12):
+        order = rng.sample(range(30), 30)
+        links = {(order[k], order[k + 1]) for k in range(29) if rng.random() < 0.8}
+        links |= {tuple(order[i] for i in sorted(rng.sample(range(30), 2))) for _ in range(conv)}
+        if conv % 4 == 3:
+            links.add((order[rng.randrange(15, 30)], order[rng.randrange(15)]))
+        rows += [(conv, b, a) for b, a in links]
+        want |= {(conv, n): v for n, v in longest_paths(links).items()}
+    found = op.levels(spark.createDataFrame(rows, "conv_id long, before long, after long")).collect()
+    assert {(r.conv_id, r.event): r.level for r in found} == want and len(found) == len(want)
+
+
+def test_a_long_chain_takes_few_rounds(spark, schemas, monkeypatch):
+    rows = []
+    for k in range(300):
+        rows += [call(1, 1000 - 2 * k, f"c{k}", [f"c{k - 1}"]), result(1, 999 - 2 * k, f"c{k}")]
+    written = []
+    monkeypatch.setattr(op, "materialize", lambda df, name, made=op.materialize: written.append(name) or made(df, name))
+    out = op.format_chats(events(spark, rows), schemas).orderBy("position").collect()
+    assert [r.call_id for r in out] == [f"c{k // 2}" for k in range(600)] and [r.kind for r in out] == ["call", "result"] * 300
+    assert written.count("pointers") <= 11
+
+
 def test_json_is_canonical(spark, schemas):
     rows = [call(1, 0, "a", arguments=' {"id" : 2, "deep": {"z":"é\\n", "a":1}} '), result(1, 1, "a"), (1, 2, "message", None, None, None, []), call(1, 3, "b", arguments="{oops")]
     lines = [r.json for r in op.format_chats(events(spark, rows), schemas).orderBy("position").collect()]

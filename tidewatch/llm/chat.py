@@ -3,8 +3,9 @@
 DataFrame operations only. A conversation is a set of events: plain messages, tool calls and tool results. Calls and results meet in a
 hash join on their identifier. Each event has to follow others: a result its call, a call the results it names as
 inputs. Events keep their recorded place if that already respects all links; only conversations in
-which some event stands before one it needs are sorted anew, in rounds that each place the events whose needs are all placed (several
-links of a conversation go into a round, and each round writes the shared folder). Events of a cycle, which no order can serve, come
+which some event stands before one it needs are sorted anew, by level: an event comes after the highest level it needs. Chains,
+however long, are contracted by pointers that double; only events with several needs take rounds, one for each of them on a
+path, and every round writes the shared folder. Events of a cycle and what follows them, which no order can serve, come
 last in recorded order and are marked. Arguments are parsed, checked against the schema of the tool (unknown tool or
 argument, missing argument, wrong type) and written as JSON with sorted keys and no spaces.
 
@@ -138,43 +139,77 @@ def _links(linked: DataFrame) -> DataFrame:
     return own.union(met.select("conv_id", "before", "after")).distinct()
 
 
+def _resolved(links: DataFrame) -> DataFrame:
+    """(conv_id, event, anchor, apart) of the events that follow exactly one other: the nearest event before them that follows none or several.
+
+    Pointers double in length until they stand on an anchor, so a chain of any length takes a logarithmic number of rounds. Chains
+    without an anchor are cycles and keep a null anchor.
+    """
+    single = links.groupBy("conv_id", F.col("after").alias("event")).agg(F.min("before").alias("anchor"), F.count(F.lit(1)).alias("needs"))
+    single = materialize(single.filter("needs = 1").select("conv_id", "event", "anchor", F.lit(1).cast("long").alias("apart")), "single")
+    further = single.select(F.col("conv_id").alias("s_conv"), F.col("event").alias("s_event"))
+    on = (F.col("conv_id") == F.col("s_conv")) & (F.col("anchor") == F.col("s_event"))
+    pointers = materialize(single.join(further, on, "left").withColumn("done", F.col("s_event").isNull()).drop("s_conv", "s_event"), "pointers")
+    longest = single.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    reach = 1
+    while reach <= longest and not pointers.filter("NOT done").isEmpty():
+        jump = pointers.select(
+            F.col("conv_id").alias("s_conv"), F.col("event").alias("s_event"), F.col("anchor").alias("next"), F.col("apart").alias("more"), F.col("done").alias("there")
+        )
+        moved = pointers.filter("NOT done").join(jump, on).select(
+            "conv_id", "event", F.col("next").alias("anchor"), (F.col("apart") + F.col("more")).alias("apart"), F.col("there").alias("done")
+        )
+        pointers = materialize(pointers.filter("done").union(moved), "pointers")
+        reach *= 2
+    return pointers.select("conv_id", "event", F.when(F.col("done"), F.col("anchor")).alias("anchor"), "apart")
+
+
+def levels(links: DataFrame) -> DataFrame:
+    """(conv_id, event, level) of all events in links: 1 for what follows nothing, else one more than the highest it follows.
+
+    Events of a cycle and all that follow them have a null level. Chains are contracted first; then every round settles the events
+    that follow several others, all settled. The number of rounds is that of such events on one path.
+    """
+    resolved = materialize(_resolved(links), "resolved")
+    sources = links.select("conv_id", F.col("before").alias("event")).distinct().join(links.select("conv_id", F.col("after").alias("event")), ["conv_id", "event"], "left_anti")
+    known = materialize(sources.withColumn("level", F.lit(1).cast("long")), "levels")
+    counted = links.groupBy("conv_id", F.col("after").alias("event")).agg(F.count(F.lit(1)).alias("needs")).filter("needs > 1")
+    several = links.withColumnRenamed("after", "event").join(counted.drop("needs"), ["conv_id", "event"])
+    pointer = resolved.select(F.col("conv_id").alias("s_conv"), F.col("event").alias("s_event"), "anchor", "apart")
+    several = several.join(pointer, (F.col("conv_id") == F.col("s_conv")) & (F.col("before") == F.col("s_event")), "left")
+    anchor = F.when(F.col("s_event").isNull(), F.col("before")).otherwise(F.col("anchor"))
+    several = several.select("conv_id", "event", anchor.alias("anchor"), (F.coalesce("apart", F.lit(0)) + 1).alias("apart"))
+    waiting = materialize(several.groupBy("conv_id", "event", "anchor").agg(F.max("apart").alias("apart")), "waiting")
+    while not waiting.isEmpty():
+        settled = known.select(F.col("conv_id").alias("k_conv"), F.col("event").alias("k_event"), "level")
+        met = waiting.join(settled, (F.col("conv_id") == F.col("k_conv")) & (F.col("anchor") == F.col("k_event")), "left")
+        ready = met.groupBy("conv_id", "event").agg(F.max(F.col("level") + F.col("apart")).alias("level"), F.max(F.col("level").isNull()).alias("open"))
+        ready = materialize(ready.filter("NOT open").drop("open"), "ready")
+        if ready.isEmpty():
+            break
+        known = known.union(ready)
+        waiting = materialize(waiting.join(ready.select("conv_id", "event"), ["conv_id", "event"], "left_anti"), "waiting")
+    settled = known.select(F.col("conv_id").alias("k_conv"), F.col("event").alias("k_event"), "level")
+    chained = resolved.join(settled, (F.col("conv_id") == F.col("k_conv")) & (F.col("anchor") == F.col("k_event")), "left")
+    stuck = waiting.select("conv_id", "event").distinct().withColumn("level", F.lit(None).cast("long"))
+    return known.union(chained.select("conv_id", "event", F.col("level") + F.col("apart"))).union(stuck)
+
+
 def topological(linked: DataFrame) -> DataFrame:
     """Adds position (from 0, per conversation) and cyclic."""
     links = materialize(_links(linked), "chat_links")
     upset = links.filter("before >= after").select("conv_id").distinct()
-    open_links = materialize(links.join(upset.withColumnRenamed("conv_id", "u"), F.col("conv_id") == F.col("u")).drop("u"), "upset_links")
-    rounds: DataFrame | None = None
-    turn = 0
-    while not open_links.isEmpty():
-        turn += 1
-        # what nothing needs to precede any more is placed; its own links are then satisfied
-        blocked = open_links.select("conv_id", F.col("after").alias("event")).distinct()
-        free = open_links.select("conv_id", F.col("before").alias("event")).distinct().exceptAll(blocked)
-        free = materialize(free.withColumn("round", F.lit(turn)), "round")
-        if free.isEmpty():
-            stuck = open_links.select("conv_id", F.explode(F.array("before", "after")).alias("event")).distinct()
-            stuck = stuck.withColumn("round", F.lit(None).cast("int"))
-            rounds = stuck if rounds is None else rounds.union(stuck)
-            break
-        ready = free.select(F.col("conv_id").alias("f_conv"), F.col("event").alias("f_event"))
-        on = (F.col("conv_id") == F.col("f_conv")) & (F.col("before") == F.col("f_event"))
-        rest = materialize(open_links.join(ready, on, "left_anti"), "upset_links")
-        # an event whose last link went with this round comes right after it
-        done = open_links.select("conv_id", F.col("after").alias("event")).distinct().exceptAll(
-            rest.select("conv_id", F.explode(F.array("before", "after")).alias("event")).distinct()
-        ).withColumn("round", F.lit(turn + 1))
-        rounds = free.union(done) if rounds is None else rounds.union(free).union(done)
-        open_links = rest
-    if rounds is None:
+    if upset.isEmpty():
         return linked.withColumns({"cyclic": F.lit(False), "position": F.col("event") - 1})
-    placed = rounds.groupBy("conv_id", "event").agg(F.max("round").alias("round"), F.count_if(F.col("round").isNull()).alias("stuck"))
-    placed = materialize(placed, "rounds").select(F.col("conv_id").alias("p_conv"), F.col("event").alias("p_event"), "round", "stuck")
+    open_links = links.join(upset.withColumnRenamed("conv_id", "u"), F.col("conv_id") == F.col("u")).drop("u")
+    placed = levels(materialize(open_links, "upset_links"))
+    placed = placed.select(F.col("conv_id").alias("p_conv"), F.col("event").alias("p_event"), "level")
     on = (F.col("conv_id") == F.col("p_conv")) & (F.col("event") == F.col("p_event"))
     moved = linked.join(upset.withColumnRenamed("conv_id", "u"), F.col("conv_id") == F.col("u")).drop("u").join(placed, on, "left")
-    moved = moved.withColumn("cyclic", F.coalesce(F.col("stuck") > 0, F.lit(False)))
-    turn_of = F.when(F.col("cyclic"), F.lit(2**31)).otherwise(F.coalesce("round", F.lit(0)).cast("long"))
+    moved = moved.withColumn("cyclic", F.col("p_event").isNotNull() & F.col("level").isNull())
+    turn_of = F.when(F.col("cyclic"), F.lit(2**62)).otherwise(F.coalesce("level", F.lit(0)))
     moved = materialize(moved.withColumn("round", turn_of).select(*linked.columns, "cyclic", "round"), "moved")
-    keys = {"round": F.col("round"), "range": F.floor(F.col("event") / 1024), "event": F.col("event")}
+    keys = {"rounds": F.floor(F.col("round") / 1024), "round": F.col("round"), "range": F.floor(F.col("event") / 1024), "event": F.col("event")}
     moved = ranked(moved, keys, "position").withColumn("position", F.col("position") - 1).drop("round")
     still = linked.join(upset.withColumnRenamed("conv_id", "u"), F.col("conv_id") == F.col("u"), "left_anti")
     still = still.withColumns({"cyclic": F.lit(False), "position": F.col("event") - 1})
@@ -214,29 +249,36 @@ def turn_schemas(spark) -> DataFrame:
     return spark.createDataFrame(TURN_TOOLS, "tool string, argument string, type string, required boolean")
 
 
-def turns_as_events(turns: DataFrame) -> DataFrame:
+def arrival(turns: DataFrame) -> Column:
+    """A place for each turn as if turns were logged in any order: 28 bits of a hash of conversation and turn."""
+    named = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.coalesce(F.col("turn").cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(named), 1, 7), 16, 10).cast("long")
+
+
+def turns_as_events(turns: DataFrame, place: Column | None = None) -> DataFrame:
     """Events of plain (conv_id, turn, role, text): a user turn calls a reply tool, the assistant turn after it is the result.
 
     A call needs the result of the call two turns before; other roles are messages. A prompt of at least 40 blanks asks
-    for a long reply.
+    for a long reply. The recorded place of an event is its turn unless another is given; the column turn is kept.
     """
+    place = F.col("turn") if place is None else place
     user, assistant = F.col("role") == "user", F.col("role") == "assistant"
     words = F.length("text") - F.length(F.replace("text", F.lit(" "))) + 1
     name = lambda turn: F.concat(F.lit("t"), turn.cast("string"))
     arguments = F.to_json(F.struct(F.col("text").alias("prompt"), words.alias("n_words"), (F.col("turn") >= 4).alias("final")))
     return turns.select(
-        "conv_id", F.col("turn").cast("long").alias("place"),
+        "conv_id", place.cast("long").alias("place"),
         F.when(user, "call").when(assistant, "result").otherwise("message").alias("kind"),
         F.when(user, name(F.col("turn"))).when(assistant, name(F.col("turn") - 1)).alias("call_id"),
         F.when(user, F.when(words > 40, "long_reply").otherwise("short_reply")).alias("tool"),
         F.when(user, arguments).alias("arguments"),
         F.when(user, F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>")).alias("needs"),
-        "role", "text",
+        "role", "text", F.col("turn").cast("long").alias("turn"),
     )
 
 
 def report(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, position, kind, call_id, status, problems (comma-joined), cyclic, json of every turn."""
-    made = format_chats(turns_as_events(turns), turn_schemas(turns.sparkSession))
+    """conv_id, turn, position, kind, call_id, status, problems (comma-joined), cyclic, json of every turn, recorded in order of arrival."""
+    made = format_chats(turns_as_events(turns, arrival(turns)), turn_schemas(turns.sparkSession))
     problems = F.concat_ws(",", "problems").alias("problems")
-    return made.select("conv_id", F.col("place").alias("turn"), "position", "kind", "call_id", "status", problems, "cyclic", "json")
+    return made.select("conv_id", "turn", "position", "kind", "call_id", "status", problems, "cyclic", "json")

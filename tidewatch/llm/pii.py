@@ -259,9 +259,11 @@ def listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans as text."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans as text, n_base (base spans of all kinds) and n_added (the others)."""
     found = find(docs)
     base = F.filter("spans", lambda s: s["base"])
     found_of = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind)))
     counts = [found_of(k).cast("long").alias(f"n_{k}") for k in PATTERNS]
-    return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    digest = F.sha2(listed(base).cast("binary"), 256).alias("base_sha256")
+    totals = [F.size(base).cast("long").alias("n_base"), (F.size("spans") - F.size(base)).cast("long").alias("n_added")]
+    return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"), *totals)

@@ -64,10 +64,20 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SQL["op1_chat"] = """
 WITH t AS (SELECT *, length(text) - length(replace(text, ' ', '')) + 1 AS words,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations),
-a AS (SELECT t.*, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+    row_number() OVER (PARTITION BY conv_id ORDER BY CAST('0x' || substr(md5(conv_id || ':' || turn), 1, 7) AS BIGINT)) AS event,
+    lag(role) OVER p AS r1, lag(role, 2) OVER p AS r2, lag(turn) OVER p AS t1, lag(turn, 2) OVER p AS t2
+  FROM conversations WINDOW p AS (PARTITION BY conv_id ORDER BY turn)),
+k AS (SELECT *, coalesce((role = 'assistant' AND r1 = 'user' AND t1 = turn - 1)
+    OR (role = 'user' AND r1 = 'assistant' AND t1 = turn - 1 AND r2 = 'user' AND t2 = turn - 2), false) AS follows,
+    lag(event) OVER (PARTITION BY conv_id ORDER BY turn) AS e1 FROM t),
+c AS (SELECT *, sum(CASE WHEN follows THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn) AS chain,
+    bool_or(follows AND e1 >= event) OVER (PARTITION BY conv_id) AS upset FROM k),
+v AS (SELECT *, row_number() OVER (PARTITION BY conv_id, chain ORDER BY turn) AS depth, count(*) OVER (PARTITION BY conv_id, chain) AS links FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id
+    ORDER BY CASE WHEN upset THEN CASE WHEN links > 1 THEN depth ELSE 0 END END, event) - 1 AS position FROM v),
+a AS (SELECT o.*, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
     CASE role WHEN 'user' THEN 't' || turn WHEN 'assistant' THEN 't' || (turn - 1) END AS call_id,
-    CASE WHEN words > 40 THEN 'long_reply' ELSE 'short_reply' END AS tool FROM t),
+    CASE WHEN words > 40 THEN 'long_reply' ELSE 'short_reply' END AS tool FROM o),
 j AS (SELECT a.*, CAST(to_json(text) AS VARCHAR) AS quoted, p.conv_id IS NOT NULL AS answered, c.conv_id IS NOT NULL AS asked FROM a
   LEFT JOIN (SELECT conv_id, turn FROM conversations WHERE role = 'assistant') p ON a.conv_id = p.conv_id AND p.turn = a.turn + 1
   LEFT JOIN (SELECT conv_id, turn FROM conversations WHERE role = 'user') c ON a.conv_id = c.conv_id AND c.turn = a.turn - 1)
