@@ -39,12 +39,12 @@ def case():
     return list(enumerate(docs)), items
 
 
-@pytest.mark.parametrize("block", [op.BLOCK_BYTES, 300])
+@pytest.mark.parametrize("block", [op.BLOCK_WINDOWS, 40])
 def test_equals_plain_search(spark, case, block):
     docs, items = case
     marked = op.decontaminate(
         spark.createDataFrame(docs, "doc_id long, text string"),
-        spark.createDataFrame([*items, (None, "the"), (55, None)], BENCH), block_bytes=block,
+        spark.createDataFrame([*items, (None, "the"), (55, None)], BENCH), block_windows=block,
     )
     got = {r[0]: tuple(r)[1:] for r in op.digest(marked).collect()}
     assert got == {d: plain(t, items) for d, t in docs}
@@ -59,3 +59,22 @@ def test_odd_rows_and_columns(spark, odd_docs, no_docs):
     assert op.decontaminate(no_docs, items).count() == 0
     nothing = op.decontaminate(odd_docs, items.limit(0))
     assert nothing.filter("contaminated").count() == 0 and nothing.filter("doc_id = 7").first().n_words == 2
+
+
+def test_prefixes_are_the_rarest_shingles(spark):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a b c a b", "b c b c", "a b", "z"])], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "a b c q"), ("j", "c a b c"), ("k", "z"), ("l", "b c b c b")], "item string, text string")
+    vocabulary, salt = op._vocabulary(items)
+    name = {r["id"]: bytes(r["word"]).decode() for r in vocabulary.collect()}
+    windows = op._windows(items, 10, salt)
+    chosen = op.choose_prefixes(windows, op.count_shingles(docs, op._marks(windows), salt)).collect()
+    got = {r["item"]: (" ".join(name[i] for i in r["ids"]), r["offset"]) for r in chosen}
+    assert got == {"i": ("a b c q", 2), "j": ("c a b c", 0), "k": ("z", 0), "l": ("b c b c b", 1)}
+
+
+def test_numbers_and_shingles():
+    words = [b"one", b"two", b"one"]
+    plain, salted = op.numbers(words), op.numbers(words, b"\0")
+    assert plain[0] == plain[2] != plain[1] and (plain != salted).all()
+    assert (op.pair_keys(plain[:-1], plain[1:]) >= 0).all() and (op.single_keys(plain) < 0).all()
+    assert (0 <= op.bins(op.single_keys(plain))).all()
