@@ -55,10 +55,8 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return shared / (total - shared)
 
 
-def _uniform(seed: np.ndarray, draw: int) -> np.ndarray:
-    """Numbers in (0, 1], the `draw`-th of each seed."""
-    raw = mix(seed + np.uint64(((2 * draw + 1) * 0x9E3779B97F4A7C15) & (2**64 - 1)))
-    return ((raw >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
+#: Points of the processes that are drawn in one step of array operations.
+POINTS = 100_000
 
 
 def signatures(owner: np.ndarray, elements: np.ndarray, weights: np.ndarray, count: int, m: int) -> np.ndarray:
@@ -83,20 +81,31 @@ def signatures(owner: np.ndarray, elements: np.ndarray, weights: np.ndarray, cou
 
 
 def _draw(signature, own, seed, reach, width, bound) -> None:
-    """Let the points of one dyadic step fall: rate `width`, kept below the level `reach`, up to the bound of the bag."""
+    """Let the points of one dyadic step fall: rate `width`, kept below the level `reach`, up to the bound of the bag.
+
+    Elements that are still short of their bound get as many points at once as they lack on average.
+    """
     m = signature.shape[1]
-    time, draw = np.zeros(len(own)), 0
+    time, draw, many = np.zeros(len(own)), 0, 1
     flat = signature.reshape(-1)
     while len(own):
-        time = time - np.log(_uniform(seed, draw)) / width
-        alive = time <= bound[own]
-        own, seed, reach, time = own[alive], seed[alive], reach[alive], time[alive]
-        where = mix(seed ^ np.uint64((0xD6E8FEB86659FD93 * (draw + 1)) & (2**64 - 1)))
+        number = np.arange(draw, draw + many, dtype=np.uint64)
+        raw = mix(seed[:, None] + (np.uint64(2) * number + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        uniform = ((raw >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53  # in (0, 1]
+        times = np.cumsum(np.concatenate([time[:, None], -np.log(uniform) / width], axis=1), axis=1)[:, 1:]
+        end = bound[own]
+        at, k = np.nonzero(times <= end[:, None])
+        where = mix(seed[at] ^ (np.uint64(0xD6E8FEB86659FD93) * (number[k] + np.uint64(1))))
         component = (where >> np.uint64(32)) % np.uint64(m)
         level = (where & np.uint64(0xFFFFFFFF)).astype(np.float64) * (width / 2.0**32)
-        kept = level < reach
-        np.minimum.at(flat, own[kept] * m + component[kept].astype(np.int64), time[kept])
-        draw += 1
+        kept = level < reach[at]
+        np.minimum.at(flat, own[at[kept]] * m + component[kept].astype(np.int64), times[at[kept], k[kept]])
+        alive = times[:, -1] <= end
+        own, seed, reach, time = own[alive], seed[alive], reach[alive], times[alive, -1]
+        draw += many
+        if len(own):
+            lacking = float(((end[alive] - time) * width).mean())
+            many = max(1, min(int(lacking) + 1, POINTS // len(own)))
 
 
 def band_hashes(signature: np.ndarray, rows: int) -> np.ndarray:
