@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,6 +15,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SLICE_ROWS = 512
 
 
+#: Bytes of an Arrow batch, and the setting for it with Spark's own default. Every task holds some batches outside the heap of its executor.
+BATCH_BYTES, BATCH_CONF, BATCH_DEFAULT = "8m", "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches be small, unless the session has a limit of its own."""
+    if spark.conf.get(BATCH_CONF, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, SLICE_ROWS):
@@ -48,6 +58,7 @@ def with_columns(docs: DataFrame, schema: str, make: Callable[..., Sequence], of
             new = [m if isinstance(m, pa.Array) else pa.array(m, f.type) for m, f in zip(made, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
+    small_batches(docs.sparkSession)
     return kept.mapInArrow(run, out)
 
 
@@ -61,4 +72,5 @@ def emit(rows: DataFrame, schema: str, make: Callable[[Iterator[pa.RecordBatch]]
             new = [m if isinstance(m, pa.Array) else pa.array(m, f.type) for m, f in zip(made, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays(new, names=arrow.names)
 
+    small_batches(rows.sparkSession)
     return rows.mapInArrow(run, out)
