@@ -41,7 +41,7 @@ SHINGLE = 2
 #: Windows of the benchmark that are in memory at a time.
 BLOCK_WINDOWS = 250_000
 #: Bins in which shingles are counted, as a power of two.
-BIN_BITS = 22
+BIN_BITS = 20
 #: Windows of an item that are handed on together, and tasks that join the marks of all others.
 STEP, FAN_IN = 20_000, 16
 

@@ -26,9 +26,12 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices; afterwards the worker, which may wait for long, gives back the memory of the batches."""
     for batch in batches:
         for first in range(0, batch.num_rows, SLICE_ROWS):
             yield batch.slice(first, SLICE_ROWS)
+    batch = None
+    pa.default_memory_pool().release_unused()
 
 
 def without(docs: DataFrame, names: Sequence[str]) -> DataFrame:
