@@ -163,3 +163,13 @@ def test_months_of_every_year(spark):
     assert rows(reports.month_year_per_day(counts), "month_name", "year", "per_day") == [
         ("Dec", 2001, 1), ("Feb", 1995, 2), ("Feb", 1996, 2), (None, None, None),
     ]
+
+
+def test_pivot_covers_every_block_of_years(spark):
+    days = [("1995-02-01",)] * 57 + [("1996-02-01",)] * 58 + [("1998-02-01",)] * 30 + [("2001-12-31",)] * 31 + [(None,)]
+    orders = spark.createDataFrame(days, "d string").select(F.to_date("d").alias("d"))
+    pivot = reports.month_pivot(orders, "d")
+    assert rows(pivot, "from_year", "month_name", "year_1", "year_2", "year_3") == [(1995, "Feb", 57, 58, 0), (1998, "Feb", 30, 0, 0), (2001, "Dec", 31, 0, 0)]
+    assert rows(reports.average_per_day(pivot), "from_year", "year_1", "year_2", "year_3") == [(1995, 2, 2, 0), (1998, 1, 0, 0), (2001, 1, 0, 0)]
+    assert reports.month_pivot(orders.limit(0), "d").count() == 0
+    assert reports.month_pivot(orders, "d", 7).columns == ["from_year", "month", "month_name", *[f"year_{k}" for k in range(1, 8)]]

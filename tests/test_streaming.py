@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from helpers import rows
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import registry, schemas
 from tidewatch import surrogates as src
-from tidewatch.operators import cleaning, dwell, fleet_state, zones
+from tidewatch.operators import cleaning, dwell, fleet_state, motion, proximity, zones
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import write_batch
 from tidewatch.sources import pings as sources
@@ -173,6 +174,63 @@ def test_live_geofence_puts_late_pings_in_their_place(spark, tmp_path):
     assert [r[2] for r in sorted(rows(want, *columns), key=lambda r: r[3])] == ["ENTER", "INSIDE", "EXIT"]
 
 
+MOVING = "event_id long, MMSI long, BaseDateTime timestamp, LAT double, LON double, SOG double, COG double"
+
+
+def traffic(seed, n, spread=0.03):
+    """Pings of eight vessels near one spot, in the order of their arrival: up to nine minutes after their time."""
+    rng = random.Random(seed)
+    data = []
+    for k in range(n):
+        seconds = rng.randrange(0, 5400)
+        place = (29.8 + rng.uniform(-spread, spread), -95.1 + rng.uniform(-spread, spread))
+        data.append((seconds + rng.randrange(0, 540), (k, rng.randrange(1, 9), T0 + dt.timedelta(seconds=seconds), *place, rng.uniform(0, 20), rng.uniform(0, 359))))
+    return [row for _, row in sorted(data)]
+
+
+def parts_of(data, borders):
+    return [data[a:b] for a, b in zip([0, *borders], [*borders, len(data)], strict=True)]
+
+
+@pytest.mark.parametrize("borders", [[], [1], [40, 41, 120], [25, 50, 75, 100, 125, 150]])
+def test_live_collisions_equal_batch_across_batches_and_retries(spark, tmp_path, borders):
+    data = traffic(len(borders), 180)
+    live = windows.LiveCollisions(spark, str(tmp_path / "c"), ["event_id"])
+    for batch_id, part in enumerate(parts_of(data, borders)):
+        frame = spark.createDataFrame(part, MOVING)
+        live.add(frame, batch_id)
+        if batch_id % 2:
+            live.add(frame, batch_id)
+    want = proximity.collision_pairs(spark.createDataFrame(data, MOVING), ["event_id"])
+    assert rows(live.read(), *want.columns) == rows(want, *want.columns) and want.count() > 20
+
+
+def test_live_collisions_keep_only_what_can_still_meet(spark, tmp_path):
+    live = windows.LiveCollisions(spark, str(tmp_path / "c"), ["event_id"], lateness="1 minute")
+    spot = (29.8, -95.1, 5.0, 10.0)
+    for batch_id, minutes in enumerate((0, 3, 5, 30)):
+        live.add(spark.createDataFrame([(batch_id, batch_id + 1, T0 + dt.timedelta(minutes=minutes), *spot)], MOVING), batch_id)
+    assert [r["event_id"] for r in live.positions.read().collect()] == [3]
+    assert sorted((r["vessel_1_mmsi"], r["vessel_2_mmsi"]) for r in live.read().collect()) == [(1, 2), (2, 3)]
+    empty = windows.LiveCollisions(spark, str(tmp_path / "e"), ["event_id"])
+    empty.add(spark.createDataFrame([], MOVING), 0)
+    empty.add(spark.createDataFrame([(0, 1, T0, *spot), (1, 2, T0, None, None, None, None), (2, 3, None, *spot)], MOVING), 1)
+    assert empty.positions.read().count() == 1
+
+
+@pytest.mark.parametrize("borders", [[], [60], [20, 21, 100]])
+def test_incremental_acceleration_equals_batch(spark, tmp_path, borders):
+    data = traffic(9, 160)
+    data += [(1000 + k, 1, T0 + dt.timedelta(minutes=7), 29.8, -95.1, float(k), 0.0) for k in range(4)]
+    random.Random(1).shuffle(data)
+    live = windows.IncrementalAcceleration(str(tmp_path / "a"), ["event_id"])
+    for batch_id, part in enumerate(parts_of(data, borders)):
+        live.add(spark.createDataFrame(part, MOVING), batch_id)
+        live.add(spark.createDataFrame(part, MOVING), batch_id)
+    want = motion.sliding_acceleration(spark.createDataFrame(data, MOVING), ["event_id"])
+    assert rows(live.read(spark), *want.columns) == rows(want, *want.columns) and want.count() > 50
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     path = write_messages(spark, str(tmp_path / "in"), [ping(A, 60)], [ping(A, 61)], [ping(A, 30), ping(A, 62)], [ping(A, 5)])
     cleaned = stream_cleaning.clean_streams(sources.replay_stream(spark, path)).cleaned

@@ -45,21 +45,33 @@ def movement_distance(pings: DataFrame, tiebreak: list[str], **slicing) -> DataF
     )
 
 
-def sliding_acceleration(pings: DataFrame, tiebreak: list[str], step_seconds: int = 60, steps: int = 5) -> DataFrame:
+STEP_SECONDS, STEPS = 60, 5
+
+
+def sliding_acceleration(pings: DataFrame, tiebreak: list[str], step_seconds: int = STEP_SECONDS, steps: int = STEPS) -> DataFrame:
     """Knots gained per second between the first and last speed of each sliding window and vessel.
 
     A window is `steps` steps wide and moves by one. Pings shrink to one row per vessel and step before
     they are repeated for the windows they belong to. Pings of one instant rank by `tiebreak`.
     """
+    return acceleration_of_steps(speed_steps(pings, tiebreak, step_seconds), step_seconds, steps)
+
+
+def speed_steps(pings: DataFrame, tiebreak: list[str], step_seconds: int = STEP_SECONDS) -> DataFrame:
+    """The first and last speed of every vessel and step, with the places of their pings, and the number of pings."""
     at, when = F.col("BaseDateTime"), F.struct("BaseDateTime", *tiebreak)
-    per_step = (
+    return (
         pings.filter(F.col("SOG").isNotNull())
         .groupBy(F.col("MMSI").cast("long").alias("mmsi"), F.window(at, f"{step_seconds} seconds")["start"].alias("_step"))
         .agg(
-            F.min(at).alias("_from"), F.min_by("SOG", when).alias("_first"),
-            F.max(at).alias("_to"), F.max_by("SOG", when).alias("_last"), F.count(F.lit(1)).alias("_n"),
+            F.min(when).alias("_from"), F.min_by("SOG", when).alias("_first"),
+            F.max(when).alias("_to"), F.max_by("SOG", when).alias("_last"), F.count(F.lit(1)).alias("_n"),
         )
     )
+
+
+def acceleration_of_steps(per_step: DataFrame, step_seconds: int = STEP_SECONDS, steps: int = STEPS) -> DataFrame:
+    """Sliding windows over the rows of `speed_steps`; a step may come in several rows, each for a part of its pings."""
     back = F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))
     repeated = per_step.withColumn("_back", back).withColumn(
         "window_start", F.col("_step") - F.make_dt_interval(secs=F.col("_back") * F.lit(step_seconds))
@@ -69,7 +81,7 @@ def sliding_acceleration(pings: DataFrame, tiebreak: list[str], step_seconds: in
     return (
         repeated.groupBy("mmsi", "window_start")
         .agg(
-            F.sum("_n").alias("ping_count"), F.min("_from").alias("first_at"), F.max("_to").alias("last_at"),
+            F.sum("_n").alias("ping_count"), F.min("_from")["BaseDateTime"].alias("first_at"), F.max("_to")["BaseDateTime"].alias("last_at"),
             F.min_by("_first", "_from").alias("first_sog"), F.max_by("_last", "_to").alias("last_sog"),
         )
         .filter(F.col("last_at") > F.col("first_at"))

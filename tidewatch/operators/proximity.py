@@ -111,6 +111,11 @@ def collision_pairs(
     first, second = (F.when(F.col("a.mmsi") < F.col("b.mmsi"), F.col(x)).otherwise(F.col(y)) for x, y in ("ab", "ba"))
     ordered = near.select(time_slice(F.col("a.BaseDateTime"), slice_seconds).alias("slice"), first.alias("a"), second.alias("b"), "distance_nm")
     rated = _rated(computed_once(ordered), high_nm, high_minutes, medium_nm, medium_minutes)
+    return closest_per_slice(rated)
+
+
+def closest_per_slice(rated: DataFrame) -> DataFrame:
+    """One row per pair and time slice: the smallest distance, then the sooner, then the earlier one."""
     order = [F.round("distance_meters", 3), F.round("cpa_minutes", 6), F.col("created_at"), F.round("mid_lat", 6), F.round("mid_lon", 6)]
     kept = [c for c in rated.columns if c not in PAIR]
     closest = rated.groupBy(*PAIR).agg(F.min_by(F.struct(*kept), F.struct(*order)).alias("row"))

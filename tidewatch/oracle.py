@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidewatch import schemas
 from tidewatch import surrogates as src
-from tidewatch.registry import DAY, NOW, YEARS
+from tidewatch.registry import DAY, EMPTY_DAY, NOW
 
 _SQL: dict[str, str] = {}
 
@@ -311,6 +311,26 @@ check("csv_replay", ["raw_pings"], """
 SELECT trim(mmsi) AS key, trim(base_date_time) AS "BaseDateTime", coalesce(trim(lat), '') AS "LAT", trim(lon) AS "LON", trim(sog) AS "SOG",
  trim(vessel_name) AS "VesselName" FROM raw_pings WHERE mmsi IS NOT NULL AND trim(mmsi) NOT IN ('', 'MMSI')""")
 
+check("legacy_csv", ["raw_pings"], """
+SELECT DISTINCT CAST(mmsi AS VARCHAR) AS mmsi, "timestamp", '2024-02-01' AS run_date
+FROM (SELECT trim(mmsi) AS mmsi, base_date_time AS "timestamp", TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(lon AS DOUBLE) AS lon,
+  TRY_CAST(sog AS DOUBLE) AS sog FROM raw_pings) t
+WHERE mmsi IS NOT NULL AND sog >= 0 AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180""")
+check("delimited_customers", [], "SELECT CAST(c_nationkey AS INTEGER) AS c_nationkey, count(*) AS v FROM customer WHERE c_nationkey < 10 GROUP BY 1")
+check("csv_columns_union", [], """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1, 2""")
+check("history_archive", ["reasoned"], """
+, judged AS (SELECT *, CASE WHEN reject_reason IS NOT NULL THEN reject_reason WHEN NOT (coalesce(sog >= 0, true) AND coalesce(cog >= 0, true)
+  AND coalesce(heading >= 0 AND heading < 360, true)) THEN 'MOTION' END AS reason FROM reasoned WHERE event_id % 101 <> 0)
+SELECT DISTINCT 'kept' AS part, CAST(mmsi AS VARCHAR) AS "MMSI", base_date_time AS "BaseDateTime", lat AS "LAT", lon AS "LON", CAST(base_date_time AS DATE) AS date
+FROM judged WHERE reason IS NULL
+UNION ALL SELECT 'rejected:' || reason || ':' || count(*), NULL, NULL, NULL, NULL, NULL FROM judged WHERE reason <> 'HEADER' GROUP BY reason""")
+check("replaced_days", ["dwell"], f"""
+SELECT kpi_date, mmsi, port_id, entry_ts, dwell_minutes FROM dwell
+WHERE kpi_date <> DATE '{EMPTY_DAY}' AND (kpi_date <> DATE '{DAY}' OR dwell_minutes >= 10)""")
+check("voyage_layout", ["dwell"], """
+SELECT kpi_date AS voyage_date, port_id AS port, mmsi, entry_ts, dwell_minutes FROM dwell WHERE port_id = 'US_HOU'""")
+
 # --- fleet state, motion, zones, proximity
 
 check("latest_fleet_state", ["state"], """
@@ -326,13 +346,15 @@ FROM (SELECT mmsi, {nm('plat', 'plon', 'lat', 'lon')} AS leg
   FROM (SELECT mmsi, lat, lon, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM pings
     WINDOW w AS (PARTITION BY mmsi ORDER BY base_date_time, event_id)) p) l
 GROUP BY mmsi""")
-check("sliding_acceleration", ["pings"], """
+_acceleration = """
 SELECT mmsi, window_start, ping_count, round((last_sog - first_sog) / ((epoch_us(last_at) - epoch_us(first_at)) / CAST(1000000 AS DOUBLE)), 9) AS acceleration
 FROM (SELECT mmsi, date_trunc('minute', base_date_time) - to_minutes(k) AS window_start, count(*) AS ping_count,
   min(base_date_time) AS first_at, max(base_date_time) AS last_at, arg_min(sog, struct_pack(t := base_date_time, e := event_id)) AS first_sog,
   arg_max(sog, struct_pack(t := base_date_time, e := event_id)) AS last_sog
   FROM pings, (SELECT unnest(range(5)) AS k) s WHERE sog IS NOT NULL GROUP BY 1, 2) w
-WHERE last_at > first_at""")
+WHERE last_at > first_at"""
+check("sliding_acceleration", ["pings"], _acceleration)
+check("sliding_acceleration_stream", ["pings"], _acceleration)
 
 _ZONE_ROWS = "(VALUES ('Port Said',32.25,31.20,32.35,31.30),('Suez Port',32.52,29.95,32.60,30.05),('Alexandria Port',29.85,31.17,29.95,31.23)) AS z(zone_id,x1,y1,x2,y2)"
 
@@ -359,7 +381,7 @@ check("geofence_events_stream", ["pings"], _geofence)
 
 _VE = "coalesce({0}.sog * sin(radians({0}.cog)), 0)".format
 _VN = "coalesce({0}.sog * cos(radians({0}.cog)), 0)".format
-check("collision_pairs", ["fleet_pings"], f"""
+_collisions = f"""
 -- every two pings of different vessels at most 180 s apart, the earlier one (b) moved to the time of the later one (a)
 , met AS (SELECT a.mmsi AS ma, b.mmsi AS mb, a.lat AS alat, a.lon AS alon, {_VE('a')} AS ave, {_VN('a')} AS avn, {_VE('b')} AS bve, {_VN('b')} AS bvn,
   a.base_date_time AS created_at, b.lat + {_VN('b')} * h / 60.0 AS blat,
@@ -378,7 +400,9 @@ best AS (SELECT *, row_number() OVER (PARTITION BY slice, m1, m2 ORDER BY round(
 SELECT slice, m1 AS vessel_1_mmsi, m2 AS vessel_2_mmsi, round(dist * 1852.0, 3) AS distance_meters, round(minutes, 6) AS cpa_minutes,
  CASE WHEN dist < 0.5 AND minutes < 10 THEN 'HIGH' ELSE 'MEDIUM' END AS risk_level, round(mid_lat, 6) AS mid_lat,
  round(mid_lon, 6) AS mid_lon, created_at
-FROM best WHERE pick = 1""")
+FROM best WHERE pick = 1"""
+check("collision_pairs", ["fleet_pings"], _collisions)
+check("collision_pairs_stream", ["fleet_pings"], _collisions)
 check("port_congestion", ["state"], f"""
 SELECT p.port_id, count(s.mmsi) AS active_vessels_count, {half_up('avg(s.sog_knots)', 6)} AS avg_speed_knots,
  CASE WHEN count(s.mmsi) >= 15 THEN 'HIGH' WHEN count(s.mmsi) >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS congestion_risk
@@ -559,11 +583,25 @@ UNION ALL SELECT 'json_rejects', count(*) FROM events WHERE event_id % 101 = 0
 UNION ALL SELECT 'speed_alerts', count(*) FROM (SELECT *, row_number() OVER (PARTITION BY mmsi, base_date_time ORDER BY event_id) AS rn
   FROM reasoned WHERE reject_reason IS NULL AND event_id % 101 <> 0) r WHERE rn = 1 AND sog > 20""")
 
+_good = "reject_reason IS NULL AND event_id % 101 <> 0"
+check("archive_sink", ["reasoned"], f"""
+SELECT mmsi AS "MMSI", base_date_time AS "BaseDateTime", {_FEATURE_COLUMNS}, CAST(0 AS BIGINT) AS batch_id
+FROM (SELECT DISTINCT mmsi, base_date_time FROM reasoned WHERE {_good}) g""")
+check("rejects_sink", ["reasoned"], """
+SELECT event_id AS kafka_offset, raw_mmsi AS "MMSI", raw_time AS "BaseDateTime", raw_lat AS "LAT", raw_lon AS "LON", raw_sog AS "SOG", reject_reason
+FROM reasoned WHERE reject_reason IS NOT NULL AND reject_reason <> 'HEADER' AND event_id % 101 <> 0""")
+check("dead_letters_sink", [], """
+SELECT event_id AS kafka_offset, '{"MMSI":' AS raw_json, 'JSON_CORRUPT' AS reject_reason FROM events WHERE event_id % 101 = 0""")
+check("fleet_state_sink", ["reasoned"], f"""
+SELECT mmsi, max(base_date_time) AS base_date_time FROM reasoned WHERE {_good} GROUP BY mmsi""")
+
 # --- notebook reports
 
-check("word_count", [], r"""
+_words = r"""
 SELECT word, count(*) AS word_count FROM (SELECT unnest(string_split_regex(text, '[ \t\n\x0B\f\r]')) AS word FROM documents) w
-WHERE word <> '' GROUP BY word""")
+WHERE word <> '' GROUP BY word"""
+check("word_count", [], _words)
+check("word_count_stream", [], _words)
 check("counts_below", [], "SELECT p_size, count(*) AS v FROM part WHERE p_size < 30 GROUP BY p_size")
 check("counts_where", [], "SELECT c_nationkey, count(*) AS v FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey")
 check("best_group", [], """
@@ -576,12 +614,12 @@ SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n FROM orders
 WHERE o_orderpriority IN (SELECT o_orderpriority FROM c WHERE n = (SELECT max(n) FROM c)) GROUP BY 1""")
 _names = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sept','Oct','Nov','Dec']"
 _pivot = f"""
-SELECT CAST(month(o_orderdate) AS INTEGER) AS month, {_names}[month(o_orderdate)] AS month_name, {', '.join(
-    f'count(*) FILTER (WHERE year(o_orderdate) = {y}) AS y{y}' for y in YEARS)}
-FROM orders GROUP BY month(o_orderdate) HAVING {' AND '.join(f'count(*) FILTER (WHERE year(o_orderdate) = {y}) > 0' for y in YEARS)}"""
+SELECT CAST(y - (y - first) % 3 AS INTEGER) AS from_year, CAST(m AS INTEGER) AS month, {_names}[m] AS month_name, {', '.join(
+    f'count(*) FILTER (WHERE (y - first) % 3 = {k}) AS year_{k + 1}' for k in range(3))}
+FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, min(year(o_orderdate)) OVER () AS first FROM orders WHERE o_orderdate IS NOT NULL) o GROUP BY 1, 2, 3"""
 check("monthly_pivot", [], _pivot)
 check("avg_per_day", [], f"""
-SELECT month, month_name, {', '.join(f"y{y} // day(last_day(make_date({y}, month, 1))) AS y{y}" for y in YEARS)} FROM ({_pivot}) p""")
+SELECT from_year, month, month_name, {', '.join(f"year_{k + 1} // day(last_day(make_date(from_year + {k}, month, 1))) AS year_{k + 1}" for k in range(3))} FROM ({_pivot}) p""")
 _by_year = f"""
 SELECT CAST(month(o_orderdate) AS INTEGER) AS month, {_names}[month(o_orderdate)] AS month_name,
  CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY ALL"""
@@ -594,5 +632,5 @@ WITH s AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_discount
 SELECT 'l_quantity' AS term, round((p * c - b * q) / (a * c - b * b), 6) AS beta FROM s
 UNION ALL SELECT 'l_discount', round((a * q - b * p) / (a * c - b * b), 6) FROM s""")
 check("sine_and_surface", [], """
-SELECT vec_id, round(sin(x * 8.0), 9) AS sin_8x, round(exp(-(x * x + y * y) / 2.0), 9) AS gauss
-FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings) e""")
+SELECT l_orderkey, l_linenumber, round(sin(x * 8.0), 9) AS sin_8x, round(exp(-(x * x + y * y) / 2.0), 9) AS gauss
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_discount AS DOUBLE) AS x, CAST(l_tax AS DOUBLE) AS y FROM lineitem) e""")

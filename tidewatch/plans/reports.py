@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.labels import month_label
@@ -39,18 +37,22 @@ def monthly_counts(rows: DataFrame, best: DataFrame, key: str, date: str) -> Dat
     return of_best.groupBy(F.month(date).alias("month")).agg(F.count(F.lit(1)).alias("n")).orderBy("month")
 
 
-def month_pivot(rows: DataFrame, date: str, years: Sequence[int]) -> DataFrame:
-    """One row per month and one count column per year given, for months all of them have; `month_year_counts` has every year."""
-    counted = rows.groupBy(F.month(date).alias("month")).agg(*[
-        F.count_if(F.year(date) == year).alias(f"y{year}") for year in years
+PIVOT_YEARS = 3
+
+
+def month_pivot(rows: DataFrame, date: str, years: int = PIVOT_YEARS) -> DataFrame:
+    """One row per month and block of `years` consecutive years, with one count column per year of the block.
+
+    Blocks start at the first year of the table and cover all of its years; rows without date have no month and no block.
+    """
+    by_year = month_year_counts(rows, date).filter(F.col("year").isNotNull())  # twelve rows a year
+    after = F.col("year") - F.min("year").over(Window.partitionBy())
+    placed = by_year.withColumn("place", F.pmod(after, F.lit(years))).withColumn("from_year", F.col("year") - F.col("place"))
+    counted = placed.groupBy("from_year", "month").agg(*[
+        F.coalesce(F.sum(F.when(F.col("place") == k, F.col("n"))), F.lit(0)).alias(f"year_{k + 1}") for k in range(years)
     ])
-    in_all = F.lit(True)
-    for year in years:
-        in_all = in_all & (F.col(f"y{year}") > 0)
-    return (
-        counted.filter(in_all).orderBy("month")
-        .select("month", month_label(F.col("month")).alias("month_name"), *[f"y{y}" for y in years])
-    )
+    named = [F.col(f"year_{k + 1}") for k in range(years)]
+    return counted.select("from_year", "month", month_label(F.col("month")).alias("month_name"), *named).orderBy("from_year", "month")
 
 
 def month_year_counts(rows: DataFrame, date: str) -> DataFrame:
@@ -72,12 +74,12 @@ def days_in_month(month: Column, year: Column | int) -> Column:
     return F.when(month == 2, february).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
 
 
-def average_per_day(pivot: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Counts per day of the month, cut to whole numbers."""
+def average_per_day(pivot: DataFrame, years: int = PIVOT_YEARS) -> DataFrame:
+    """Counts of `month_pivot` per day of the month, cut to whole numbers."""
     return pivot.select(
-        "month", "month_name",
+        "from_year", "month", "month_name",
         *[
-            F.floor(F.col(f"y{y}") / days_in_month(F.col("month"), y)).cast("long").alias(f"y{y}")
-            for y in years
+            F.floor(F.col(f"year_{k + 1}") / days_in_month(F.col("month"), F.col("from_year") + k)).cast("long").alias(f"year_{k + 1}")
+            for k in range(years)
         ],
     )

@@ -15,7 +15,7 @@ from tidewatch.operators import (
     regression, spatial, zones,
 )
 from tidewatch.operators.lookup import join_lookup
-from tidewatch.plans import reports, serving
+from tidewatch.plans import jobs, reports, serving
 from tidewatch.session import materialize, scratch_path
 from tidewatch.sinks import tables
 from tidewatch.sources import files, pings
@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = "2024-01-15"
 NOW = "2024-01-31 00:00:00"
-YEARS = (1996, 1997, 1998)
+EMPTY_DAY = "2024-01-16"
 TIE = ["event_id"]
 
 _QUERIES: dict[str, Query] = {}
@@ -271,6 +271,79 @@ def csv_replay(spark, d):
     return messages.select("key", F.from_json("value", fields).alias("_m")).select("key", "_m.*")
 
 
+@query
+def legacy_csv(spark, d):
+    """Lower-case CSV files with a header, read by their schema and cleaned by the older job."""
+    path = scratch_path(spark, "legacy")
+    raw = src.raw_pings(spark, d).select(
+        F.trim("MMSI").alias("mmsi"), F.col("BaseDateTime").alias("timestamp"), *[text.as_double(F.col(c)).alias(c.lower()) for c in ("LAT", "LON", "SOG", "COG")]
+    )
+    files.write_csv(raw, f"{path}/input")
+    jobs.clean_csv_legacy(spark, f"{path}/input", f"{path}/out", "2024-02-01")
+    rows = files.read_all(spark, f"{path}/out")
+    return rows.select("mmsi", "timestamp", F.col("run_date").cast("string").alias("run_date"))
+
+
+@query
+def delimited_customers(spark, d):
+    """Quoted text with semicolons, of which three columns are read back and counted under a limit."""
+    path = scratch_path(spark, "delimited")
+    customers = src.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    customers.write.option("header", True).option("sep", ";").option("quoteAll", True).csv(path)
+    schema = "c_custkey bigint, c_name string, c_mktsegment string, c_nationkey int"
+    return reports.counts_below(files.read_delimited(spark, path, schema, ["c_custkey", "c_mktsegment", "c_nationkey"]), "c_nationkey", 10)
+
+
+@query
+def csv_columns_union(spark, d):
+    """Two of the columns of several CSV files as one table, and how often each value occurs."""
+    path = scratch_path(spark, "flights")
+    orders = src.table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("priority"))
+    for part in range(3):
+        files.write_csv(orders.filter(F.pmod("o_orderkey", F.lit(3)) == part), f"{path}/{part}")
+    read = files.read_csv_columns(spark, [f"{path}/{part}" for part in range(3)], "o_orderkey bigint, year int, priority string", ["year", "priority"])
+    return read.groupBy("year", "priority").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def history_archive(spark, d):
+    """Messages cleaned into the archive by the historical job, read back by its date partitions."""
+    path = scratch_path(spark, "history")
+    jobs.clean_history(src.messages_of(src.table(spark, d, "events")).select("value"), f"{path}/archive", f"{path}/rejects")
+    rows = files.read_all(spark, f"{path}/archive")
+    instant = F.col("BaseDateTime").cast("timestamp_ntz").alias("BaseDateTime")
+    kept = rows.select(F.lit("kept").alias("part"), F.col("MMSI").cast("string").alias("MMSI"), instant, "LAT", "LON", "date")
+    gone = files.read_all(spark, f"{path}/rejects").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    counted = gone.select(
+        F.concat(F.lit("rejected:"), "reject_reason", F.lit(":"), "n").alias("part"), F.lit(None).cast("string").alias("MMSI"),
+        F.lit(None).cast("timestamp_ntz").alias("BaseDateTime"), F.lit(None).cast("double").alias("LAT"), F.lit(None).cast("double").alias("LON"),
+        F.lit(None).cast("date").alias("date"),
+    )
+    return kept.union(counted)
+
+
+@query
+def replaced_days(spark, d):
+    """Port visits after one day was replaced by its longer visits and another by nothing, each twice."""
+    path = scratch_path(spark, "replaced")
+    visits = served(spark, d, "port_dwell_times")
+    tables.overwrite_by_date(visits, path, "kpi_date")
+    for _ in range(2):
+        tables.replace_day(visits.filter("dwell_minutes >= 10"), path, DAY)
+        tables.replace_day(visits.limit(0), path, EMPTY_DAY)
+    rows = files.read_all(spark, path)
+    return rows.select("kpi_date", "mmsi", "port_id", F.col("entry_ts").cast("timestamp_ntz").alias("entry_ts"), "dwell_minutes")
+
+
+@query
+def voyage_layout(spark, d):
+    """Port visits laid out by voyage date and port, read back for one port by its partitions."""
+    path = scratch_path(spark, "voyages")
+    tables.write_dwell(served(spark, d, "port_dwell_times"), path)
+    rows = files.read_all(spark, path).filter(F.col("port") == "US_HOU")
+    return rows.select("voyage_date", "port", "mmsi", F.col("entry_ts").cast("timestamp_ntz").alias("entry_ts"), "dwell_minutes")
+
+
 # --- fleet state, motion, zones, proximity -------------------------------------------------------------
 
 @query
@@ -329,6 +402,30 @@ def collision_pairs(spark, d):
     })
 
 
+@query
+def collision_pairs_stream(spark, d):
+    """The same risks from several batches whose ends are out of order."""
+    path = scratch_path(spark, "collisions")
+    live = windows.LiveCollisions(spark, path, TIE)
+    windows.drain_batches(src.fleet_pings_of(src.event_batches(spark, d, f"{path}/input")), live.add, f"{path}/checkpoint")
+    return live.read().withColumns({
+        "distance_meters": F.round("distance_meters", 3),
+        "cpa_minutes": F.round("cpa_minutes", 6),
+        "mid_lat": F.round("mid_lat", 6),
+        "mid_lon": F.round("mid_lon", 6),
+        "created_at": F.col("created_at").cast("timestamp_ntz"),
+    })
+
+
+@query
+def sliding_acceleration_stream(spark, d):
+    path = scratch_path(spark, "acceleration")
+    live = windows.IncrementalAcceleration(f"{path}/rows", TIE)
+    windows.drain_batches(src.pings_of(src.event_batches(spark, d, f"{path}/input")), live.add, f"{path}/checkpoint")
+    rows = live.read(spark)
+    return rows.withColumns({"acceleration": F.round("acceleration", 9), "window_start": F.col("window_start").cast("timestamp_ntz")})
+
+
 @query
 def port_congestion(spark, d):
     latest = fleet_state.latest_pings(src.fleet_pings(spark, d), TIE)
@@ -520,6 +617,57 @@ def stream_dedup(spark, d):
     return rows.withColumn("BaseDateTime", F.col("BaseDateTime").cast("timestamp_ntz"))
 
 
+@query
+def word_count_stream(spark, d):
+    """Words of the documents, counted as a stream."""
+    path = scratch_path(spark, "words")
+    schema = src.table(spark, d, "documents").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+    return windows.drain_complete(windows.word_count(stream, "text"), f"{path}/rows", f"{path}/checkpoint")
+
+
+_DRAINED: dict[tuple[str, str], fanout.FanOut] = {}
+
+
+def drained(spark: SparkSession, sf_dir: str) -> fanout.FanOut:
+    """The five sinks after the events went through as messages, once per application and directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DRAINED:
+        out = fanout.FanOut(scratch_path(spark, "fanout"))
+        streams = stream_cleaning.clean_streams(src.messages_of(src.event_stream(spark, sf_dir)))
+        fanout.await_all(fanout.start_fan_out(streams, out))
+        _DRAINED[key] = out
+    return _DRAINED[key]
+
+
+def _sink(spark, d, name: str) -> DataFrame:
+    return fanout.read_sink(spark, drained(spark, d), name, spark.range(0))
+
+
+@query
+def archive_sink(spark, d):
+    """Keys and calendar of the archive, read by its partitions; which of several pings of one instant stays is open."""
+    rows = _sink(spark, d, "archive")
+    instant = F.col("BaseDateTime").cast("timestamp_ntz").alias("BaseDateTime")
+    return rows.select("MMSI", instant, "date", "year", "month", "day", "hour", "day_of_week", "quarter", "batch_id")
+
+
+@query
+def rejects_sink(spark, d):
+    return _sink(spark, d, "rejects").select("kafka_offset", "MMSI", "BaseDateTime", "LAT", "LON", "SOG", "reject_reason")
+
+
+@query
+def dead_letters_sink(spark, d):
+    return _sink(spark, d, "json_rejects").select("kafka_offset", "raw_json", "reject_reason")
+
+
+@query
+def fleet_state_sink(spark, d):
+    """The newest instant of every vessel in the upserted state."""
+    return _sink(spark, d, "fleet_state").select("mmsi", F.col("base_date_time").cast("timestamp_ntz").alias("base_date_time"))
+
+
 @query
 def running_counts_stream(spark, d):
     path = scratch_path(spark, "running-counts")
@@ -584,13 +732,9 @@ def session_dwell_batches(spark, d):
 @query
 def stream_fanout(spark, d):
     """Rows in each of the five sinks after draining the events as messages."""
-    out = fanout.FanOut(scratch_path(spark, "fanout"))
-    streams = stream_cleaning.clean_streams(src.messages_of(src.event_stream(spark, d)))
-    fanout.await_all(fanout.start_fan_out(streams, out))
-    empty = spark.range(0)
     counts = None
     for sink in fanout.SINKS:
-        part = fanout.read_sink(spark, out, sink, empty).agg(F.count(F.lit(1)).alias("row_count"))
+        part = _sink(spark, d, sink).agg(F.count(F.lit(1)).alias("row_count"))
         part = part.select(F.lit(sink).alias("sink"), "row_count")
         counts = part if counts is None else counts.unionByName(part)
     return counts
@@ -630,12 +774,12 @@ def monthly_counts(spark, d):
 
 @query
 def monthly_pivot(spark, d):
-    return reports.month_pivot(src.table(spark, d, "orders"), "o_orderdate", YEARS)
+    return reports.month_pivot(src.table(spark, d, "orders"), "o_orderdate")
 
 
 @query
 def avg_per_day(spark, d):
-    return reports.average_per_day(reports.month_pivot(src.table(spark, d, "orders"), "o_orderdate", YEARS), YEARS)
+    return reports.average_per_day(reports.month_pivot(src.table(spark, d, "orders"), "o_orderdate"))
 
 
 @query
@@ -656,11 +800,12 @@ def least_squares(spark, d):
 
 @query
 def sine_and_surface(spark, d):
-    rows = src.table(spark, d, "embeddings").select(
-        "vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y")
+    """Both curves over the discount and tax of every order line."""
+    rows = src.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_discount").cast("double").alias("x"), F.col("l_tax").cast("double").alias("y")
     )
     return rows.select(
-        "vec_id",
+        "l_orderkey", "l_linenumber",
         F.round(regression.sine_curve(F.col("x")), 9).alias("sin_8x"),
         F.round(regression.gauss_surface(F.col("x"), F.col("y")), 9).alias("gauss"),
     )

@@ -13,6 +13,8 @@ from tidewatch.operators.dedup import last_per_key
 from tidewatch.operators.dwell import (
     DAY_KEYS, GAP_SECONDS, dwell_minutes, merge_slices, port_visits, session_slices, sessions_from_slices,
 )
+from tidewatch.operators.motion import acceleration_of_steps, speed_steps
+from tidewatch.operators.proximity import WITHIN_SECONDS, closest_per_slice, collision_pairs
 from tidewatch.operators.zones import geofence_events
 from tidewatch.session import materialize
 from tidewatch.sinks.snapshots import SnapshotTable
@@ -82,6 +84,54 @@ class IncrementalDwell:
         return found.withColumn("dwell_minutes", dwell_minutes(F.col("entry_ts"), F.col("exit_ts")))
 
 
+class IncrementalAcceleration:
+    """Sliding accelerations kept up to date batch by batch, late pings included.
+
+    Each batch stores its (vessel, step) partials; windows are cut from all partials when they are read, so no state grows with
+    the stream and no order of arrival is assumed. A repeated batch replaces itself.
+    """
+
+    def __init__(self, base: str, tiebreak: list[str]):
+        self.base = base
+        self.tiebreak = tiebreak
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        write_batch(speed_steps(batch, self.tiebreak), self.base, batch_id)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return acceleration_of_steps(spark.read.parquet(self.base).drop("batch_id"))
+
+
+class LiveCollisions:
+    """Collision risks batch by batch, equal to the batch operator for pings up to `lateness` out of order.
+
+    Between batches a table of positions holds the pings that one still to come can meet: those not older than the tolerance of a
+    comparison plus `lateness`, counted from the newest ping. Every batch is compared with itself and with them, and
+    stores the closest approach of each pair and slice it found; `read` keeps the closest of all batches. A repeated batch replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, tiebreak: list[str], lateness: str = "10 minutes", within_seconds: int = WITHIN_SECONDS):
+        self.spark = spark
+        self.risks = f"{base}/risks"
+        self.positions = SnapshotTable(spark, f"{base}/positions")
+        self.tiebreak = tiebreak
+        self.lateness = lateness
+        self.within_seconds = within_seconds
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        columns = ["MMSI", "BaseDateTime", *self.tiebreak, "LAT", "LON", "SOG", "COG"]
+        located = batch.select(*columns).filter(valid_position(F.col("LAT"), F.col("LON")) & F.col("BaseDateTime").isNotNull())
+        held = self.positions.read(before=batch_id)
+        track = materialize(located if held is None else held.unionByName(located), "track")
+        write_batch(collision_pairs(track, self.tiebreak, within_seconds=self.within_seconds), self.risks, batch_id)
+        reach = F.expr(f"INTERVAL {self.lateness}") + F.make_dt_interval(secs=F.lit(self.within_seconds))
+        newest = track.agg(F.max("BaseDateTime") - reach).first()[0]
+        self.positions.replace(track.filter(F.col("BaseDateTime") >= F.lit(newest)), batch_id)
+
+    def read(self) -> DataFrame:
+        return closest_per_slice(self.spark.read.parquet(self.risks).drop("batch_id"))
+
+
 class LiveGeofence:
     """Geofence events batch by batch, equal to the batch operator for pings up to `lateness` out of order.
 

@@ -97,7 +97,11 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fleet_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pings of one vessel per user."""
-    return _run(FLEET_SQL, table(spark, sf_dir, "events"))
+    return fleet_pings_of(table(spark, sf_dir, "events"))
+
+
+def fleet_pings_of(events: DataFrame) -> DataFrame:
+    return _run(FLEET_SQL, events)
 
 
 def raw_pings_of(events: DataFrame) -> DataFrame:
