@@ -54,6 +54,10 @@ def test_cluster_job_stores_result_and_model(spark, archive, tmp_path):
     assert jobs.verify_day(spark, out, DAY)["vessel_behavior_clusters"] == stored.count()
     with pytest.raises(checks.CheckFailed):
         jobs.verify_day(spark, out, "2024-01-11")
+    again = jobs.cluster_day(spark, archive, str(tmp_path / "again"), models, DAY, run_ts=stamp, model_day=DAY)
+    assert rows(again, *summary.columns) == rows(summary, *summary.columns)
+    jobs.cluster_day(spark, archive, out, models, "2024-01-12", run_ts=stamp, model_day=DAY)
+    assert not (tmp_path / "models" / "date=2024-01-12").exists() and files.read_day(spark, f"{out}/vessel_behavior_clusters", "2024-01-12", "kpi_date").count()
 
 
 def test_empty_day_replaces_the_rows_before(spark, tmp_path):

@@ -403,14 +403,18 @@ SELECT slice, m1 AS vessel_1_mmsi, m2 AS vessel_2_mmsi, round(dist * 1852.0, 3)
 FROM best WHERE pick = 1"""
 check("collision_pairs", ["fleet_pings"], _collisions)
 check("collision_pairs_stream", ["fleet_pings"], _collisions)
-check("port_congestion", ["state"], f"""
+_congestion = f"""
 SELECT p.port_id, count(s.mmsi) AS active_vessels_count, {half_up('avg(s.sog_knots)', 6)} AS avg_speed_knots,
  CASE WHEN count(s.mmsi) >= 15 THEN 'HIGH' WHEN count(s.mmsi) >= 5 THEN 'MEDIUM' ELSE 'LOW' END AS congestion_risk
 FROM ports p LEFT JOIN state s ON {nm('p.port_lat', 'p.port_lon', 's.lat', 's.lon')} <= p.radius_nm
-GROUP BY p.port_id""")
+GROUP BY p.port_id"""
+check("port_congestion", ["state"], _congestion)
+check("port_congestion_stream", ["state"], _congestion)
 
 # --- clustering
 
+check("stored_model_facts", ["features"], "SELECT count(*) AS rows, CAST(5 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS moved FROM features")
+
 check("cluster_features", ["features"], "SELECT * FROM features")
 _facts = ", ".join(
     f"('{c}', (SELECT round(avg({c}), 6) FROM {{0}}), (SELECT round(stddev_samp({c}), 6) FROM {{0}}))"

@@ -87,15 +87,23 @@ def cluster_day(
     pct: float = 95.0,
     heading: bool = False,
     run_ts: dt.datetime | None = None,
+    model_day: str | None = None,
 ) -> DataFrame:
-    """Fit, assign, flag and store the clusters of one day; returns the cluster summary."""
+    """Fit, assign, flag and store the clusters of one day; returns the cluster summary.
+
+    With `model_day` the model kept for that day is used instead of a new fit, so labels mean the same on both days; the thresholds
+    are always those of the day itself.
+    """
     inputs = (*clustering.FEATURES, clustering.HEADING) if heading else clustering.FEATURES
     day_pings = checks.require_rows(files.read_day(spark, archive, day), f"{archive} for {day}")
     features = clustering.feature_rows(day_pings, heading=heading).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         checks.require_rows(features, f"valid pings of {day}")
-        model = clustering.fit(features, k=k, inputs=inputs)
-        tables.save_model(model, models, day)
+        if model_day is None:
+            model = clustering.fit(features, k=k, inputs=inputs)
+            tables.save_model(model, models, day)
+        else:
+            model = tables.load_model(models, model_day)
         stamp = F.lit(run_ts or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
         centres = clustering.centres_of(model, inputs)
         result = clustering.cluster_vessels(features, centres, stamp, pct)
@@ -150,6 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     clusters.add_argument("--anomaly-threshold-pct", type=float, default=95.0)
     clusters.add_argument("--heading", action="store_true")
     clusters.add_argument("--models", required=True)
+    clusters.add_argument("--model-date", help="use the model kept for this day instead of fitting one")
 
     verify = jobs.add_parser("verify")
     for day_job in (kpi, clusters):
@@ -203,7 +212,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "cluster":
         cluster_day(
             spark, args.archive, args.out, args.models, args.exec_date, k=args.k,
-            pct=args.anomaly_threshold_pct, heading=args.heading,
+            pct=args.anomaly_threshold_pct, heading=args.heading, model_day=args.model_date,
         ).show()
     elif args.job == "verify":
         print(json.dumps(verify_day(spark, args.out, args.exec_date)))

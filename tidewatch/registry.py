@@ -433,6 +433,18 @@ def port_congestion(spark, d):
     return rows.withColumn("avg_speed_knots", numbers.steady_round(F.col("avg_speed_knots"), 6))
 
 
+@query
+def port_congestion_stream(spark, d):
+    """Congestion from the fleet state that a stream of several batches, out of order at their ends, has upserted."""
+    path = scratch_path(spark, "congestion")
+    out = fanout.FanOut(path)
+    windows.drain_batches(src.fleet_pings_of(src.event_batches(spark, d, f"{path}/input")), fanout.state_handler(out), f"{path}/checkpoint")
+    view = fleet_state.fleet_state_view(fanout.read_sink(spark, out, "fleet_state", src.state(spark, d).limit(0)))
+    latest = view.select(F.col("mmsi").alias("MMSI"), F.col("lat").alias("LAT"), F.col("lon").alias("LON"), F.col("sog_knots").alias("SOG"))
+    rows = proximity.port_congestion(latest, schemas.ports(spark))
+    return rows.withColumn("avg_speed_knots", numbers.steady_round(F.col("avg_speed_knots"), 6))
+
+
 # --- clustering -------------------------------------------------------------------------------------------
 
 def _features(spark, d) -> DataFrame:
@@ -487,6 +499,19 @@ def kmeans_heading_fit_facts(spark, d):
     return _fit_facts(materialize(features, "features"), (*clustering.FEATURES, clustering.HEADING))
 
 
+@query
+def stored_model_facts(spark, d):
+    """A fitted model after it was stored and loaded: rows, clusters used, and rows it places differently than before."""
+    features = materialize(_features(spark, d), "features")
+    model = clustering.fit(features)
+    path = scratch_path(spark, "models")
+    tables.save_model(model, path, DAY)
+    before, after = (clustering.assign(features, clustering.centres_of(m)) for m in (model, tables.load_model(path, DAY)))
+    both = before.join(after.select("event_id", F.col("cluster_id").alias("again"), F.col("distance_to_centroid").alias("apart")), "event_id")
+    moved = F.count_if((F.col("cluster_id") != F.col("again")) | (F.col("distance_to_centroid") != F.col("apart")))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("again").alias("clusters"), moved.alias("moved"))
+
+
 @query
 def kmeans_outliers(spark, d):
     """Top 20 outliers of the older script, which puts the position first."""

@@ -65,6 +65,11 @@ def save_model(model: PipelineModel, base: str, day: str) -> str:
     return path
 
 
+def load_model(base: str, day: str) -> PipelineModel:
+    """The model kept for a day."""
+    return PipelineModel.load(f"{base}/date={day}")
+
+
 def jdbc_append(rows: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> None:
     """Append to a database table. Needs the database's JDBC driver."""
     rows.write.format("jdbc").option("url", url).option("dbtable", table).options(**properties).mode("append").save()
