@@ -231,6 +231,21 @@ def test_incremental_acceleration_equals_batch(spark, tmp_path, borders):
     assert rows(live.read(spark), *want.columns) == rows(want, *want.columns) and want.count() > 50
 
 
+def test_live_results_without_rows_have_their_schema(spark, tmp_path, sf_dir):
+    data, none = spark.createDataFrame(traffic(1, 40), MOVING), spark.createDataFrame([], MOVING)
+    for name, make, read in (
+        ("c", lambda p: windows.LiveCollisions(spark, p, ["event_id"]), lambda live: live.read()),
+        ("a", lambda p: windows.IncrementalAcceleration(p, ["event_id"]), lambda live: live.read(spark)),
+        ("d", lambda p: windows.IncrementalDwell(p, schemas.ports(spark)), lambda live: live.read(spark)),
+    ):
+        full, empty, unused = (make(str(tmp_path / f"{name}{k}")) for k in range(3))
+        full.add(data, 0)
+        empty.add(none, 0)
+        assert read(full).count() > 0
+        for live in (empty, unused):
+            assert read(live).count() == 0 and read(live).dtypes == read(full).dtypes
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     path = write_messages(spark, str(tmp_path / "in"), [ping(A, 60)], [ping(A, 61)], [ping(A, 30), ping(A, 62)], [ping(A, 5)])
     cleaned = stream_cleaning.clean_streams(sources.replay_stream(spark, path)).cleaned

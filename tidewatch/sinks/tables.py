@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_RECORDS_PER_FILE = 1_000_000
@@ -52,6 +52,14 @@ def write_batch(rows: DataFrame, base: str, batch_id: int, by: str | None = None
     )
 
 
+def read_batches(spark: SparkSession, base: str) -> DataFrame | None:
+    """All batches that `write_batch` stored; None where none had a row."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    has_rows = files.exists(path) and any(s.isDirectory() and "=" in s.getPath().getName() for s in files.listStatus(path))
+    return spark.read.parquet(base) if has_rows else None
+
+
 def write_dwell(rows: DataFrame, base: str) -> None:
     """Port visits laid out by voyage date and port."""
     laid_out = rows.withColumn("voyage_date", F.col("kpi_date")).withColumn("port", F.col("port_id"))

@@ -13,7 +13,7 @@ from tidewatch.operators.fleet_state import latest_fleet_state, merge_state
 from tidewatch.operators.kpis import ALERT_KNOTS, alert_messages
 from tidewatch.sinks.kafka import publish
 from tidewatch.sinks.snapshots import SnapshotTable
-from tidewatch.sinks.tables import MAX_RECORDS_PER_FILE, write_batch
+from tidewatch.sinks.tables import MAX_RECORDS_PER_FILE, read_batches, write_batch
 from tidewatch.streaming.cleaning import CleanStreams
 
 SINKS = ("fleet_state", "speed_alerts", "archive", "rejects", "json_rejects")
@@ -136,9 +136,7 @@ def read_sink(spark: SparkSession, out: FanOut, sink: str, empty: DataFrame) ->
     if sink == "fleet_state":
         found = SnapshotTable(spark, out.path(sink)).read()
         return empty if found is None else found
-    path = spark._jvm.org.apache.hadoop.fs.Path(out.path(sink))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    has_rows = files.exists(path) and any(s.isDirectory() and "=" in s.getPath().getName() for s in files.listStatus(path))
-    return spark.read.parquet(out.path(sink)) if has_rows else empty
+    found = read_batches(spark, out.path(sink))
+    return empty if found is None else found
 
 

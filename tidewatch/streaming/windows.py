@@ -18,7 +18,7 @@ from tidewatch.operators.proximity import WITHIN_SECONDS, closest_per_slice, col
 from tidewatch.operators.zones import geofence_events
 from tidewatch.session import materialize
 from tidewatch.sinks.snapshots import SnapshotTable
-from tidewatch.sinks.tables import write_batch
+from tidewatch.sinks.tables import read_batches, write_batch
 
 
 def tumbling_counts(rows: DataFrame, ts: str, key: str, width: str = "5 seconds", watermark: str | None = None) -> DataFrame:
@@ -69,6 +69,8 @@ class IncrementalDwell:
     when they are read, so no state grows with the stream and no order of arrival is assumed.
     """
 
+    RESULT = "kpi_date date, mmsi long, port_id string, session_id long, entry_ts timestamp, exit_ts timestamp, ping_count long, dwell_minutes double"
+
     def __init__(self, base: str, ports: DataFrame, gap_seconds: int = GAP_SECONDS):
         self.base = base
         self.ports = ports
@@ -79,7 +81,10 @@ class IncrementalDwell:
         write_batch(session_slices(visits, DAY_KEYS, "BaseDateTime", self.gap_seconds), self.base, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        slices = merge_slices(spark.read.parquet(self.base), DAY_KEYS)
+        stored = read_batches(spark, self.base)
+        if stored is None:
+            return spark.createDataFrame([], self.RESULT)
+        slices = merge_slices(stored, DAY_KEYS)
         found = sessions_from_slices(slices, DAY_KEYS, self.gap_seconds)
         return found.withColumn("dwell_minutes", dwell_minutes(F.col("entry_ts"), F.col("exit_ts")))
 
@@ -91,6 +96,8 @@ class IncrementalAcceleration:
     the stream and no order of arrival is assumed. A repeated batch replaces itself.
     """
 
+    RESULT = "mmsi long, window_start timestamp, ping_count long, acceleration double"
+
     def __init__(self, base: str, tiebreak: list[str]):
         self.base = base
         self.tiebreak = tiebreak
@@ -99,7 +106,8 @@ class IncrementalAcceleration:
         write_batch(speed_steps(batch, self.tiebreak), self.base, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return acceleration_of_steps(spark.read.parquet(self.base).drop("batch_id"))
+        stored = read_batches(spark, self.base)
+        return spark.createDataFrame([], self.RESULT) if stored is None else acceleration_of_steps(stored.drop("batch_id"))
 
 
 class LiveCollisions:
@@ -110,6 +118,11 @@ class LiveCollisions:
     stores the closest approach of each pair and slice it found; `read` keeps the closest of all batches. A repeated batch replaces itself.
     """
 
+    RESULT = (
+        "slice long, vessel_1_mmsi long, vessel_2_mmsi long, distance_meters double, cpa_minutes double, risk_level string, "
+        "mid_lat double, mid_lon double, created_at timestamp"
+    )
+
     def __init__(self, spark: SparkSession, base: str, tiebreak: list[str], lateness: str = "10 minutes", within_seconds: int = WITHIN_SECONDS):
         self.spark = spark
         self.risks = f"{base}/risks"
@@ -129,7 +142,8 @@ class LiveCollisions:
         self.positions.replace(track.filter(F.col("BaseDateTime") >= F.lit(newest)), batch_id)
 
     def read(self) -> DataFrame:
-        return closest_per_slice(self.spark.read.parquet(self.risks).drop("batch_id"))
+        stored = read_batches(self.spark, self.risks)
+        return self.spark.createDataFrame([], self.RESULT) if stored is None else closest_per_slice(stored.drop("batch_id"))
 
 
 class LiveGeofence:
