@@ -1,6 +1,8 @@
 """The registered queries against their SQL, the pipeline stage by stage against its operators."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -52,6 +54,27 @@ def test_whitening_has_eight_rows_per_vector(spark, sf_dir):
     assert out.selectExpr("max(identity_error)").first()[0] < 1e-9
 
 
+WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, {repo!r})
+from tidewatch.llm import queries
+from tidewatch.session import local_session
+spark = local_session("alone", "4")
+spark.sparkContext.setLogLevel("ERROR")
+for name, query in sorted(queries.queries().items()):
+    print("ROWS", name, query(spark, {sf_dir!r}).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(sf_dir, tmp_path):
+    repo = os.path.dirname(os.path.abspath(contract.__file__))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    script = WITHOUT_PACKAGE.format(repo=repo, sf_dir=sf_dir)
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    done = [line.split()[1] for line in run.stdout.splitlines() if line.startswith("ROWS")]
+    assert done == sorted(queries.queries()), run.stderr[-3000:]
+
+
 def test_stages_keep_their_columns_and_decisions(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, counts = docs.columns, [docs.count()]

@@ -52,7 +52,7 @@ def test_directions_without_variance_have_no_component(spark):
 
 
 def test_exact_beyond_64_bits():
-    centre = op.Centre(3_000_000_007, [3 * 10**14 + 5, -7])
+    centre = op.Centre.of(3_000_000_007, [3 * 10**14 + 5, -7])
     rows = np.array([[1.5, -2.25], [0.0, 3.0], [2.0**40, 1.0]])
     want = [sum((centre.n * x - s) ** 2 for x, s in zip(map(int, np.floor(r * 1024)), (3 * 10**14 + 5, -7), strict=True)) for r in rows]
     assert centre.deviations(rows[:2]) == want[:2] and centre.deviations(rows) == want
@@ -64,7 +64,7 @@ def test_factors_compose(spark):
     data = rng.normal(size=(200, 7)).astype(np.float32)
     rows = op.usable(frame(spark, data))
     n, sums = op.totals(rows)
-    centre = op.Centre(n, sums)
+    centre = op.Centre.of(n, sums)
     centred = centre.centred(data.astype(np.float64))
     found = op.factor(rows, centre)
     assert np.abs(centred.mean(axis=0)).max() < 1e-9 and np.abs(np.tril(found, -1)).max() < 1e-12 * np.abs(found).max()

@@ -21,7 +21,6 @@ A part is at most 32 counts, and parts are worked off in tasks.
 from __future__ import annotations
 
 from fractions import Fraction
-from functools import cache
 from itertools import permutations
 from math import comb, factorial
 
@@ -80,7 +79,6 @@ def removals(counts: dict[int, int]) -> list[int]:
     return [sum(n for fails, n in counts.items() if fails & coalition) for coalition in range(ALL + 1)]
 
 
-@cache
 def _normal_equations() -> tuple[list[int], list[Fraction], list[list[Fraction]]]:
     """Proper coalitions, their kernel weights, and the matrix of the normal equations bordered by the sum constraint."""
     m = len(FILTERS)

@@ -17,6 +17,7 @@ the memory of a task: some matrices of dimensions squared.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
 
 import numpy as np
@@ -85,13 +86,17 @@ def totals(rows: DataFrame) -> tuple[int, list[int]]:
     return first["n"], [int(r["total"]) for r in added.filter(F.col("size") == first["size"]).orderBy("place").collect()]
 
 
+@dataclass
 class Centre:
     """The exact mean of the whole numbers of n vectors, as floor and rest per dimension."""
 
-    def __init__(self, n: int, totals: list[int]) -> None:
-        self.n = n
-        self.floor = np.array([t // n for t in totals], np.int64)
-        self.rest = np.array([t % n for t in totals], np.int64)
+    n: int
+    floor: np.ndarray
+    rest: np.ndarray
+
+    @staticmethod
+    def of(n: int, totals: list[int]) -> Centre:
+        return Centre(n, np.array([t // n for t in totals], np.int64), np.array([t % n for t in totals], np.int64))
 
     def centred(self, matrix: np.ndarray) -> np.ndarray:
         """x - S/n in double precision."""
@@ -164,11 +169,11 @@ def factor(rows: DataFrame, centre: Centre) -> np.ndarray:
     chain: list[np.ndarray] = []
     product, one = np.eye(size), np.eye(size)
     for turn in range(ROUNDS):
-        shared = context.broadcast((centre, chain))
+        shared = context.broadcast((vars(centre), chain))
 
         def gram(matrix: np.ndarray, shared=shared) -> np.ndarray:
-            centre, chain = shared.value
-            rows = centre.centred(matrix)
+            known, chain = shared.value
+            rows = Centre(**known).centred(matrix)
             for f in chain:
                 rows = solve_triangular(rows, f)
             return rows.T @ rows
@@ -206,11 +211,11 @@ def fit(rows: DataFrame, centre: Centre, components: int) -> tuple[np.ndarray, n
 def identity_error(rows: DataFrame, centre: Centre, weights: np.ndarray) -> float:
     """The largest entry of the covariance of the whitened rows minus the identity."""
     size, k = weights.shape
-    shared = rows.sparkSession.sparkContext.broadcast((centre, weights))
+    shared = rows.sparkSession.sparkContext.broadcast((vars(centre), weights))
 
     def moments(matrix: np.ndarray) -> np.ndarray:
-        centre, weights = shared.value
-        white = centre.centred(matrix) @ weights
+        known, weights = shared.value
+        white = Centre(**known).centred(matrix) @ weights
         return np.vstack([white.T @ white, white.sum(axis=0)])
 
     found = _added(rows, size, moments, (k + 1, k)) / centre.n
@@ -229,18 +234,19 @@ def whiten(vectors: DataFrame, *, components: int = COMPONENTS) -> DataFrame:
     nothing = rows.limit(0).selectExpr("vec_id", "0 AS component", "CAST(0 AS DECIMAL(38,0)) AS deviation", "0D AS whitened", "0D AS explained")
     if not n:
         return nothing.select("*", *facts(0, 0.0)).select(*order)
-    centre, size = Centre(n, sums), len(sums)
+    centre, size = Centre.of(n, sums), len(sums)
     same = rows.filter(F.size("vector") == size)
     axes, values, explained = fit(same, centre, components)
     if not len(values):
         return nothing.select("*", *facts(n, 0.0)).select(*order)
     weights = (axes / np.sqrt(values)[:, None]).T
     error = identity_error(same, centre, weights)
-    shared = rows.sparkSession.sparkContext.broadcast((centre, weights))
+    shared = rows.sparkSession.sparkContext.broadcast((vars(centre), weights))
     k = len(values)
 
     def make(batches):
-        centre, weights = shared.value
+        known, weights = shared.value
+        centre = Centre(**known)
         for batch in batches:
             matrix = _matrix(batch, 1, size)
             exact = [Decimal(d) if d < 10**38 else None for d in centre.deviations(matrix)]
