@@ -205,6 +205,16 @@ def test_live_collisions_equal_batch_across_batches_and_retries(spark, tmp_path,
     assert rows(live.read(), *want.columns) == rows(want, *want.columns) and want.count() > 20
 
 
+def test_known_pings_meet_only_new_ones(spark):
+    data = traffic(5, 180)
+    first, second, whole = (spark.createDataFrame(part, MOVING) for part in (data[:110], data[110:], data))
+    found = [proximity.collision_pairs(first, ["event_id"]), proximity.collision_pairs(second, ["event_id"], known=first, crowded_cell=3)]
+    old, new = (spark.createDataFrame(part.collect(), part.schema) for part in found)
+    want = proximity.collision_pairs(whole, ["event_id"])
+    assert rows(proximity.closest_per_slice(old.union(new)), *want.columns) == rows(want, *want.columns)
+    assert not old.isEmpty() and not new.isEmpty()
+
+
 def test_live_collisions_keep_only_what_can_still_meet(spark, tmp_path):
     live = windows.LiveCollisions(spark, str(tmp_path / "c"), ["event_id"], lateness="1 minute")
     spot = (29.8, -95.1, 5.0, 10.0)

@@ -32,6 +32,7 @@ def collision_pairs(
     medium_nm: float = 1.0,
     medium_minutes: float = 20.0,
     crowded_cell: int = CROWDED_CELL,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of vessels at HIGH or MEDIUM risk, the closest approach of each pair and time slice.
 
@@ -43,11 +44,18 @@ def collision_pairs(
     Pings meet through a shared time bucket as long as the tolerance (the earlier ping also stands in the next bucket, so
     bucket borders split nothing) and a shared grid cell as wide as the reach plus the longest way in that time. A crowded
     cell is cut into parts: one side is dealt out over them, the other is repeated in each.
+
+    `known` holds further pings whose pairs among themselves were rated before: they meet only those of `pings`, so a batch costs
+    the comparisons of its own pings.
     """
+    if known is not None:
+        pings = pings.withColumn("_new", F.lit(True)).unionByName(known.withColumn("_new", F.lit(False)))
+    else:
+        pings = pings.withColumn("_new", F.lit(True))
     reach = float(medium_nm) + geo.MAX_SOG_KNOTS * within_seconds / 3600.0
     located = pings.filter(geo.valid_position(F.col("LAT"), F.col("LON")) & F.col("BaseDateTime").isNotNull())
     ships = located.select(
-        F.col("MMSI").cast("long").alias("mmsi"), "BaseDateTime", "LAT", "LON", "SOG", "COG",
+        F.col("MMSI").cast("long").alias("mmsi"), "BaseDateTime", "LAT", "LON", "SOG", "COG", "_new",
         F.struct("BaseDateTime", F.col("MMSI").cast("long"), *tiebreak).alias("when"),
         time_slice(F.col("BaseDateTime"), within_seconds).alias("bucket"),
     )
@@ -97,11 +105,15 @@ def collision_pairs(
     left, right = _dealt_out(left, right, crowds, cell)
 
     columns = ["mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime", "when"]
-    a = left.select(*cell, "_part", F.struct(*columns).alias("a"))
-    b = right.select(*cell, "_part", F.struct(*columns).alias("b"))
+
+    def met(later: DataFrame, earlier: DataFrame) -> DataFrame:
+        a = later.select(*cell, "_part", F.struct(*columns).alias("a"))
+        return a.join(earlier.select(*cell, "_part", F.struct(*columns).alias("b")), [*cell, "_part"])
+
+    both = met(left, right) if known is None else met(left.filter("_new"), right).union(met(left.filter("NOT _new"), right.filter("_new")))
     micros = lambda ping: F.unix_micros(F.col(f"{ping}.BaseDateTime").cast("timestamp"))
     apart = micros("a") - micros("b")
-    pairs = a.join(b, [*cell, "_part"]).filter(
+    pairs = both.filter(
         (F.col("b.when") < F.col("a.when")) & (F.col("a.mmsi") != F.col("b.mmsi"))
         & (apart <= within_seconds * 1_000_000) & (F.abs(F.col("a.LAT") - F.col("b.LAT")) <= row_deg)
     )

@@ -43,7 +43,7 @@ def trigger(live_seconds: int | None = None) -> dict:
 def start_fan_out(streams: CleanStreams, out: FanOut, live_seconds: int | None = None) -> list[StreamingQuery]:
     """Start all five queries; a failure in one leaves the others running."""
     return [
-        _start(source, handler, out.checkpoint(sink), sink, live_seconds)
+        _start(source, handler, out, sink, live_seconds)
         for sink, source, handler in (
             ("fleet_state", streams.cleaned, state_handler(out)),
             ("speed_alerts", streams.cleaned, alert_handler(out)),
@@ -64,19 +64,17 @@ def start_fused(streams: CleanStreams, out: FanOut, live_seconds: int | None = N
                 handler(batch, batch_id)
 
     return [
-        _start(streams.cleaned, write_all, out.checkpoint("fused"), "fused", live_seconds),
-        _start(streams.rejects, table_handler(out.path("rejects")), out.checkpoint("rejects"), "rejects", live_seconds),
-        _start(
-            streams.json_rejects, table_handler(out.path("json_rejects")), out.checkpoint("json_rejects"),
-            "json_rejects", live_seconds,
-        ),
+        _start(streams.cleaned, write_all, out, "fused", live_seconds),
+        _start(streams.rejects, table_handler(out.path("rejects")), out, "rejects", live_seconds),
+        _start(streams.json_rejects, table_handler(out.path("json_rejects")), out, "json_rejects", live_seconds),
     ]
 
 
-def _start(source: DataFrame, handler: Callable, checkpoint: str, name: str, live_seconds: int | None) -> StreamingQuery:
+def _start(source: DataFrame, handler: Callable, out: FanOut, sink: str, live_seconds: int | None) -> StreamingQuery:
     return (
         source.writeStream.foreachBatch(handler)
-        .option("checkpointLocation", checkpoint)
+        .queryName(out.path(sink))
+        .option("checkpointLocation", out.checkpoint(sink))
         .trigger(**trigger(live_seconds))
         .start()
     )

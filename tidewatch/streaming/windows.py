@@ -114,8 +114,9 @@ class LiveCollisions:
     """Collision risks batch by batch, equal to the batch operator for pings up to `lateness` out of order.
 
     Between batches a table of positions holds the pings that one still to come can meet: those not older than the tolerance of a
-    comparison plus `lateness`, counted from the newest ping. Every batch is compared with itself and with them, and
-    stores the closest approach of each pair and slice it found; `read` keeps the closest of all batches. A repeated batch replaces itself.
+    comparison plus `lateness`, counted from the newest ping. Every batch is compared with itself and with them, they are not compared
+    with each other again, and the batch stores the closest approach of each pair and slice it found; `read` keeps the closest of all
+    batches. A repeated batch replaces itself.
     """
 
     RESULT = (
@@ -134,9 +135,10 @@ class LiveCollisions:
     def add(self, batch: DataFrame, batch_id: int) -> None:
         columns = ["MMSI", "BaseDateTime", *self.tiebreak, "LAT", "LON", "SOG", "COG"]
         located = batch.select(*columns).filter(valid_position(F.col("LAT"), F.col("LON")) & F.col("BaseDateTime").isNotNull())
+        located = materialize(located, "located")
         held = self.positions.read(before=batch_id)
-        track = materialize(located if held is None else held.unionByName(located), "track")
-        write_batch(collision_pairs(track, self.tiebreak, within_seconds=self.within_seconds), self.risks, batch_id)
+        track = located if held is None else held.unionByName(located)
+        write_batch(collision_pairs(located, self.tiebreak, within_seconds=self.within_seconds, known=held), self.risks, batch_id)
         reach = F.expr(f"INTERVAL {self.lateness}") + F.make_dt_interval(secs=F.lit(self.within_seconds))
         newest = track.agg(F.max("BaseDateTime") - reach).first()[0]
         self.positions.replace(track.filter(F.col("BaseDateTime") >= F.lit(newest)), batch_id)
