@@ -60,6 +60,35 @@ def test_cluster_job_stores_result_and_model(spark, archive, tmp_path):
     assert not (tmp_path / "models" / "date=2024-01-12").exists() and files.read_day(spark, f"{out}/vessel_behavior_clusters", "2024-01-12", "kpi_date").count()
 
 
+def test_days_run_one_after_the_other_whatever_fails(spark, archive, tmp_path):
+    out, models = str(tmp_path / "out"), str(tmp_path / "models")
+    with pytest.raises(checks.CheckFailed, match="^1 of 2 days failed: 1999-01-01: no rows in "):
+        jobs.run_days(spark, archive, out, models, ["1999-01-01", DAY], k=3)
+    counts = jobs.verify_day(spark, out, DAY)
+    assert all(n > 0 for n in counts.values()) and (tmp_path / "models" / f"date={DAY}").exists()
+
+
+def test_days_are_tried_again(spark, monkeypatch, capsys):
+    tried = []
+
+    def kpis_of(spark, archive, out, day):
+        tried.append(day)
+        if tried.count(day) < {"2024-02-29": 2, "2024-03-01": 9}.get(day, 0):
+            raise RuntimeError(f"lost {day}\nmore")
+
+    monkeypatch.setattr(jobs, "daily_kpis", kpis_of)
+    monkeypatch.setattr(jobs, "cluster_day", lambda *a, **options: tried.append(options))
+    monkeypatch.setattr(jobs, "verify_day", lambda spark, out, day: {"t": 1})
+    assert jobs.run_days(spark, "a", "o", "m", jobs.days_between("2024-02-28", "2024-02-29"), k=4) == {"2024-02-28": {"t": 1}, "2024-02-29": {"t": 1}}
+    assert tried == ["2024-02-28", {"k": 4, "pct": 95.0}, "2024-02-29", "2024-02-29", {"k": 4, "pct": 95.0}]
+    with pytest.raises(checks.CheckFailed, match="^1 of 2 days failed: 2024-03-01: lost 2024-03-01$"):
+        jobs.run_days(spark, "a", "o", "m", jobs.days_between("2024-03-01", "2024-03-02"))
+    assert tried.count("2024-03-01") == 2 and tried[-2] == "2024-03-02"
+    common = ["--archive", "a", "--out", "o", "--models", "m", "--retries", "0"]
+    jobs.main(["days", "--from-date", "2024-02-28", "--to-date", "2024-02-28", *common])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"2024-02-28": {"t": 1}}
+
+
 def test_empty_day_replaces_the_rows_before(spark, tmp_path):
     base = str(tmp_path / "t")
     full = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "kpi_date date, v int")

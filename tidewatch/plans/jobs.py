@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import logging
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +120,42 @@ def verify_day(spark: SparkSession, out: str, day: str) -> dict[str, int]:
     return checks.verify_day({n: files.read_all(spark, f"{out}/{n}") for n in names}, day)
 
 
+def run_days(
+    spark: SparkSession, archive: str, out: str, models: str, days: Sequence[str], *, k: int = 5, pct: float = 95.0, retries: int = 1
+) -> dict[str, dict[str, int]]:
+    """KPI tables, clusters and verification for each of the days; returns the verified row counts by day.
+
+    No day depends on another: one that fails leaves the others running, and at the end `CheckFailed` names all that failed. A day
+    whose input or result is missing fails at once, any other error only after `retries` more attempts, which replace what
+    an earlier one wrote.
+    """
+    verified: dict[str, dict[str, int]] = {}
+    failed: dict[str, Exception] = {}
+    for day in days:
+        for attempt in range(retries + 1):
+            try:
+                daily_kpis(spark, archive, out, day)
+                cluster_day(spark, archive, out, models, day, k=k, pct=pct)
+                verified[day] = verify_day(spark, out, day)
+                failed.pop(day, None)
+                break
+            except Exception as error:
+                logging.getLogger(__name__).error("%s, attempt %d: %s", day, attempt + 1, error)
+                failed[day] = error
+                if isinstance(error, checks.CheckFailed):
+                    break
+    if failed:
+        reasons = "; ".join(f"{day}: {str(error).partition(chr(10))[0]}" for day, error in failed.items())
+        raise checks.CheckFailed(f"{len(failed)} of {len(days)} days failed: {reasons}") from next(iter(failed.values()))
+    return verified
+
+
+def days_between(first: str, last: str) -> list[str]:
+    """All days from the first to the last one."""
+    start = dt.date.fromisoformat(first)
+    return [str(start + dt.timedelta(days=n)) for n in range((dt.date.fromisoformat(last) - start).days + 1)]
+
+
 def replay_csv(spark: SparkSession, path: str, servers: str, topic: str = pings.RAW_TOPIC, max_rows: int = 0) -> None:
     """Publish the rows of ragged CSV files as keyed JSON messages."""
     publish(pings.to_messages(files.read_ragged_csv(spark, path, max_rows)), servers, topic)
@@ -160,8 +198,15 @@ def main(argv: list[str] | None = None) -> None:
     clusters.add_argument("--models", required=True)
     clusters.add_argument("--model-date", help="use the model kept for this day instead of fitting one")
 
+    several = jobs.add_parser("days", help="daily-kpis, cluster and verify for every day of a range")
+    for flag in ("--from-date", "--to-date", "--models", "--out"):
+        several.add_argument(flag, required=True)
+    several.add_argument("--k", type=int, default=5)
+    several.add_argument("--anomaly-threshold-pct", type=float, default=95.0)
+    several.add_argument("--retries", type=int, default=1)
+
     verify = jobs.add_parser("verify")
-    for day_job in (kpi, clusters):
+    for day_job in (kpi, clusters, several):
         day_job.add_argument("--archive", required=True)
     for day_job in (kpi, clusters, verify):
         day_job.add_argument("--exec-date", required=True)
@@ -214,6 +259,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, args.archive, args.out, args.models, args.exec_date, k=args.k,
             pct=args.anomaly_threshold_pct, heading=args.heading, model_day=args.model_date,
         ).show()
+    elif args.job == "days":
+        print(json.dumps(run_days(
+            spark, args.archive, args.out, args.models, days_between(args.from_date, args.to_date), k=args.k,
+            pct=args.anomaly_threshold_pct, retries=args.retries,
+        )))
     elif args.job == "verify":
         print(json.dumps(verify_day(spark, args.out, args.exec_date)))
     elif args.job == "clean-legacy":
