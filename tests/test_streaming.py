@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import registry, schemas
 from tidewatch import surrogates as src
+from tidewatch.functions import geo
 from tidewatch.operators import cleaning, dwell, fleet_state, motion, proximity, zones
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import write_batch
@@ -228,6 +229,52 @@ def test_live_collisions_keep_only_what_can_still_meet(spark, tmp_path):
     assert empty.positions.read().count() == 1
 
 
+def test_pings_stand_only_in_cells_that_their_way_comes_near(spark, monkeypatch):
+    data = [(k, k, T0 + dt.timedelta(seconds=k), 0.05, 0.0, 10.0, 45.0) for k in range(40)]
+    copies, dealt_out = [], proximity._dealt_out
+
+    def counted(left, right, crowds, cell):
+        copies.append(right.count())
+        return dealt_out(left, right, crowds, cell)
+
+    monkeypatch.setattr(proximity, "_dealt_out", counted)
+    assert proximity.collision_pairs(spark.createDataFrame(data, MOVING), ["event_id"]).count() == 40 * 39 // 2
+    assert copies == [2 * len(data)]
+
+
+@pytest.mark.parametrize("lat, lon", [(29.8, -95.1), (0.0, 179.98), (84.9, -179.9), (89.95, 10.0), (-60.0, 0.0)])
+def test_collisions_across_cells_equal_all_comparisons(spark, lat, lon):
+    rng = random.Random(3)
+    data = []
+    for k in range(160):
+        place = (min(90.0, lat + rng.uniform(-0.1, 0.1)), (lon + rng.uniform(-0.1, 0.1) + 180.0) % 360.0 - 180.0)
+        data.append((k, k, T0 + dt.timedelta(seconds=rng.randrange(0, 900)), *place, rng.choice([None, rng.uniform(0, 102)]), rng.uniform(0, 359)))
+    frame = spark.createDataFrame(data, MOVING)
+    spots = frame.select(F.struct(*frame.columns).alias("p"))
+    hours = (F.unix_micros("a.BaseDateTime") - F.unix_micros("b.BaseDateTime")) / 3.6e9
+    b = geo.moved(F.col("b"), hours)
+    near = geo.haversine_nm(F.col("a.LAT"), F.col("a.LON"), b["LAT"], b["LON"]) < 1.0
+    later = F.struct("a.BaseDateTime", "a.MMSI") > F.struct("b.BaseDateTime", "b.MMSI")
+    met = spots.select(F.col("p").alias("a")).crossJoin(spots.select(F.col("p").alias("b"))).filter(later & (hours <= 0.05) & near)
+    want = {(min(r), max(r)) for r in met.select("a.MMSI", "b.MMSI").collect()}
+    found = proximity.collision_pairs(frame, ["event_id"], medium_minutes=1e9)
+    assert {(r["vessel_1_mmsi"], r["vessel_2_mmsi"]) for r in found.collect()} == want and len(want) > 20
+
+
+def test_only_slices_of_several_batches_are_settled_when_read(spark, tmp_path, monkeypatch):
+    live = windows.LiveCollisions(spark, str(tmp_path / "c"), ["event_id"])
+    data = sorted(traffic(2, 180), key=lambda row: row[2])
+    for batch_id, part in enumerate(parts_of(data, [90])):
+        live.add(spark.createDataFrame(part, MOVING), batch_id)
+    settled, closest = [], windows.closest_per_slice
+    monkeypatch.setattr(windows, "closest_per_slice", lambda rated: settled.append({r["slice"] for r in rated.select("slice").collect()}) or closest(rated))
+    got = live.read()
+    stored = {r["slice"] for r in spark.read.parquet(live.risks).select("slice").collect()}
+    assert len(stored) > 5 and len(settled[0]) <= 1
+    want = proximity.collision_pairs(spark.createDataFrame(data, MOVING), ["event_id"])
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+
+
 @pytest.mark.parametrize("borders", [[], [60], [20, 21, 100]])
 def test_incremental_acceleration_equals_batch(spark, tmp_path, borders):
     data = traffic(9, 160)

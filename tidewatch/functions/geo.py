@@ -156,9 +156,14 @@ def minutes_to_closest(dx: Column, dy: Column, dvx: Column, dvy: Column) -> Colu
     return F.greatest(F.try_divide(closing * 60.0, speed_sq), F.lit(0.0))
 
 
+def degrees_east(ping: Column, hours: Column) -> Column:
+    """Degrees of longitude that a ping (struct with LAT, SOG, COG) goes east along its course in some hours."""
+    return velocity_east(ping["SOG"], ping["COG"]) * hours / 60.0 / F.greatest(F.cos(F.radians(ping["LAT"])), F.lit(1e-6))
+
+
 def moved(ping: Column, hours: Column) -> Column:
     """A ping (struct with LAT, LON, SOG, COG) carried along its course on a local plane for some hours."""
-    north, east = velocity_north(ping["SOG"], ping["COG"]), velocity_east(ping["SOG"], ping["COG"])
+    north = velocity_north(ping["SOG"], ping["COG"])
     lat = F.greatest(F.lit(-90.0), F.least(F.lit(90.0), ping["LAT"] + north * hours / 60.0))
-    lon = wrap_degrees(ping["LON"] + east * hours / 60.0 / F.greatest(F.cos(F.radians(ping["LAT"])), F.lit(1e-6)))
+    lon = wrap_degrees(ping["LON"] + degrees_east(ping, hours))
     return ping.withField("LAT", lat).withField("LON", lon)

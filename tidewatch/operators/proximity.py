@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import geo
-from tidewatch.functions.calendar import time_slice
+from tidewatch.functions.calendar import epoch_micros, time_slice
 from tidewatch.functions.labels import congestion_risk
 from tidewatch.operators.lookup import join_lookup
 from tidewatch.operators.shape import computed_once
@@ -42,8 +42,9 @@ def collision_pairs(
     rated comparisons in a slice the one with the smallest distance stays, then the sooner, then the earlier one.
 
     Pings meet through a shared time bucket as long as the tolerance (the earlier ping also stands in the next bucket, so
-    bucket borders split nothing) and a shared grid cell as wide as the reach plus the longest way in that time. A crowded
-    cell is cut into parts: one side is dealt out over them, the other is repeated in each.
+    bucket borders split nothing) and a shared grid cell as wide as the reach plus the longest way in that time. In each
+    bucket the earlier ping stands only in those cells around its own that come within `medium_nm` of its way during the bucket.
+    A crowded cell is cut into parts: one side is dealt out over them, the other is repeated in each.
 
     `known` holds further pings whose pairs among themselves were rated before: they meet only those of `pings`, so a batch costs
     the comparisons of its own pings.
@@ -56,7 +57,7 @@ def collision_pairs(
     located = pings.filter(geo.valid_position(F.col("LAT"), F.col("LON")) & F.col("BaseDateTime").isNotNull())
     ships = located.select(
         F.col("MMSI").cast("long").alias("mmsi"), "BaseDateTime", "LAT", "LON", "SOG", "COG", "_new",
-        F.struct("BaseDateTime", F.col("MMSI").cast("long"), *tiebreak).alias("when"),
+        *[F.col(c).alias(f"_tie_{i}") for i, c in enumerate(tiebreak)],
         time_slice(F.col("BaseDateTime"), within_seconds).alias("bucket"),
     )
 
@@ -82,16 +83,37 @@ def collision_pairs(
         .withColumn("_cells", cells_in_row(F.col("_row")))
         .withColumn("_cell", cell_of(F.col("LON"), F.col("_cells")))
     )
-    # The earlier ping is repeated over its 3 x 3 neighbourhood, each row counted in its own cells: every pair
-    # of pings meets once, in the bucket and cell of the later one.
+    # The earlier ping is repeated over the cells of its 3 x 3 neighbourhood that its way touches, each row counted in its own
+    # cells: every pair of pings meets once, in the bucket and cell of the later one.
+    left_over = (F.col("bucket") + 1) * F.lit(within_seconds) - epoch_micros(F.col("BaseDateTime")) / F.lit(1e6)
+    spans = F.array(
+        F.struct(F.col("bucket"), F.lit(0.0).alias("since"), left_over.alias("until")),
+        F.struct((F.col("bucket") + 1).alias("bucket"), left_over.alias("since"), F.lit(float(within_seconds)).alias("until")),
+    )
+    spot = F.struct("LAT", "LON", "SOG", "COG")
+    ends = [geo.moved(spot, F.col(f"_span.{end}") / 3600.0) for end in ("since", "until")]
+    south, north = (pick(*[end["LAT"] for end in ends]) for pick in (F.least, F.greatest))
+    east = [geo.degrees_east(spot, F.col(f"_span.{end}") / 3600.0) for end in ("since", "until")]
+    high = geo.circle_lat_margin(F.lit(float(medium_nm)))
+    wide = geo.circle_lon_margin(F.greatest(F.abs(south), F.abs(north)), F.lit(float(medium_nm)))
+    around = F.col("_around")
+    place = F.pmod(F.col("LON") + 180.0, F.lit(360.0)) / 360.0 * F.col("_cells") - F.col("_mid")
+    west_end, east_end = (place + around[side] / 360.0 * F.col("_cells") for side in ("west", "east"))
     right = (
-        ships.withColumn("bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)))
-        .withColumn("_row", F.explode(F.transform(step, lambda i: home_row + i)))
+        ships.withColumn("_span", F.explode(spans))
+        .withColumn("bucket", F.col("_span.bucket"))
+        .withColumn("_around", F.struct(
+            F.floor((south - high) / row_deg).alias("first"), F.floor((north + high) / row_deg).alias("last"),
+            (F.least(*east) - wide).alias("west"), (F.greatest(*east) + wide).alias("east"),
+        ))
+        .withColumn("_row", F.explode(F.filter(F.transform(step, lambda i: home_row + i), lambda row: row.between(around["first"], around["last"]))))
         .withColumn("_cells", cells_in_row(F.col("_row")))
         .withColumn("_mid", cell_of(F.col("LON"), F.col("_cells")))
-        .withColumn("_cell", F.explode(F.array_distinct(
-            F.transform(step, lambda i: F.pmod(F.col("_mid") + i, F.col("_cells")))
-        )))
+        .withColumn("_cell", F.explode(F.array_distinct(F.transform(
+            F.filter(step, lambda i: F.when(i < 0, west_end <= 0.0).when(i > 0, east_end >= 1.0).otherwise(True)),
+            lambda i: F.pmod(F.col("_mid") + i, F.col("_cells")),
+        ))))
+        .drop("_span", "_around")
     )
 
     cell = ["bucket", "_row", "_cell"]
@@ -104,17 +126,19 @@ def collision_pairs(
     )
     left, right = _dealt_out(left, right, crowds, cell)
 
-    columns = ["mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime", "when"]
+    ties = [f"_tie_{i}" for i in range(len(tiebreak))]
+    columns = ["mmsi", "LAT", "LON", "SOG", "COG", "BaseDateTime", *ties]
 
     def met(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        a = later.select(*cell, "_part", F.struct(*columns).alias("a"))
-        return a.join(earlier.select(*cell, "_part", F.struct(*columns).alias("b")), [*cell, "_part"])
+        a, b = (side.select(*cell, "_part", *[F.col(c).alias(f"{name}_{c}") for c in columns]) for side, name in ((later, "a"), (earlier, "b")))
+        return a.join(b, [*cell, "_part"]).select(*[F.struct(*[F.col(f"{name}_{c}").alias(c) for c in columns]).alias(name) for name in "ab"])
 
     both = met(left, right) if known is None else met(left.filter("_new"), right).union(met(left.filter("NOT _new"), right.filter("_new")))
     micros = lambda ping: F.unix_micros(F.col(f"{ping}.BaseDateTime").cast("timestamp"))
     apart = micros("a") - micros("b")
+    when_a, when_b = (F.struct(*[F.col(f"{ping}.{c}") for c in ("BaseDateTime", "mmsi", *ties)]) for ping in "ab")
     pairs = both.filter(
-        (F.col("b.when") < F.col("a.when")) & (F.col("a.mmsi") != F.col("b.mmsi"))
+        (when_b < when_a) & (F.col("a.mmsi") != F.col("b.mmsi"))
         & (apart <= within_seconds * 1_000_000) & (F.abs(F.col("a.LAT") - F.col("b.LAT")) <= row_deg)
     )
     moved = pairs.withColumn("b", geo.moved(F.col("b"), apart / 3.6e9))

@@ -13,6 +13,7 @@ from tidewatch.operators.dedup import last_per_key
 from tidewatch.operators.dwell import (
     DAY_KEYS, GAP_SECONDS, dwell_minutes, merge_slices, port_visits, session_slices, sessions_from_slices,
 )
+from tidewatch.operators.lookup import join_lookup
 from tidewatch.operators.motion import acceleration_of_steps, speed_steps
 from tidewatch.operators.proximity import WITHIN_SECONDS, closest_per_slice, collision_pairs
 from tidewatch.operators.zones import geofence_events
@@ -145,7 +146,14 @@ class LiveCollisions:
 
     def read(self) -> DataFrame:
         stored = read_batches(self.spark, self.risks)
-        return self.spark.createDataFrame([], self.RESULT) if stored is None else closest_per_slice(stored.drop("batch_id"))
+        if stored is None:
+            return self.spark.createDataFrame([], self.RESULT)
+        # A batch holds each pair of a slice once: only slices of several batches have anything to choose from.
+        batches = stored.groupBy("slice").agg(F.min("batch_id").alias("_first"), F.max("batch_id").alias("_last"))
+        shared = batches.filter("_first < _last").select("slice", F.lit(True).alias("_shared"))
+        marked = join_lookup(stored.drop("batch_id"), shared, ["slice"], "left")
+        alone, several = marked.filter("_shared IS NULL").drop("_shared"), marked.filter("_shared").drop("_shared")
+        return alone.unionByName(closest_per_slice(several))
 
 
 class LiveGeofence:
