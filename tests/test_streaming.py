@@ -14,7 +14,7 @@ from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import write_batch
 from tidewatch.sources import pings as sources
 from tidewatch.streaming import cleaning as stream_cleaning
-from tidewatch.streaming import fanout, windows
+from tidewatch.streaming import fanout, tasks, windows
 
 T0 = dt.datetime(2024, 12, 25)
 
@@ -344,6 +344,24 @@ def test_batches_are_stored_in_few_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 100
 
 
+def test_state_partitions_do_not_multiply_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tasks, "MIN_TASKS", 4)
+    path = write_messages(spark, str(tmp_path / "in"), [ping(A, k) for k in range(30)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        streams = stream_cleaning.clean_streams(sources.replay_stream(spark, path))
+        out = fanout.FanOut(str(tmp_path / "out"))
+        parts = []
+        state = fanout.state_handler(out)
+        monkeypatch.setattr(fanout, "state_handler", lambda out: lambda batch, n: (parts.append(batch.rdd.getNumPartitions()), state(batch, n)))
+        fanout.await_all(fanout.start_fan_out(streams, out))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts and max(parts) <= max(4, spark.sparkContext.defaultParallelism)
+    assert fanout.read_sink(spark, out, "fleet_state", spark.range(0)).count() == 1
+
+
 def test_triggers():
     assert fanout.trigger() == {"availableNow": True}
     assert fanout.trigger(2) == {"processingTime": "2 seconds"}

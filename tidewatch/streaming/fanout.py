@@ -15,6 +15,7 @@ from tidewatch.sinks.kafka import publish
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import MAX_RECORDS_PER_FILE, read_batches, write_batch
 from tidewatch.streaming.cleaning import CleanStreams
+from tidewatch.streaming.tasks import few_tasks
 
 SINKS = ("fleet_state", "speed_alerts", "archive", "rejects", "json_rejects")
 
@@ -42,12 +43,13 @@ def trigger(live_seconds: int | None = None) -> dict:
 
 def start_fan_out(streams: CleanStreams, out: FanOut, live_seconds: int | None = None) -> list[StreamingQuery]:
     """Start all five queries; a failure in one leaves the others running."""
+    cleaned = few_tasks(streams.cleaned)
     return [
         _start(source, handler, out, sink, live_seconds)
         for sink, source, handler in (
-            ("fleet_state", streams.cleaned, state_handler(out)),
-            ("speed_alerts", streams.cleaned, alert_handler(out)),
-            ("archive", streams.cleaned, table_handler(out.path("archive"), by="date")),
+            ("fleet_state", cleaned, state_handler(out)),
+            ("speed_alerts", cleaned, alert_handler(out)),
+            ("archive", cleaned, table_handler(out.path("archive"), by="date")),
             ("rejects", streams.rejects, table_handler(out.path("rejects"))),
             ("json_rejects", streams.json_rejects, table_handler(out.path("json_rejects"))),
         )
@@ -64,7 +66,7 @@ def start_fused(streams: CleanStreams, out: FanOut, live_seconds: int | None = N
                 handler(batch, batch_id)
 
     return [
-        _start(streams.cleaned, write_all, out, "fused", live_seconds),
+        _start(few_tasks(streams.cleaned), write_all, out, "fused", live_seconds),
         _start(streams.rejects, table_handler(out.path("rejects")), out, "rejects", live_seconds),
         _start(streams.json_rejects, table_handler(out.path("json_rejects")), out, "json_rejects", live_seconds),
     ]
@@ -83,7 +85,7 @@ def _start(source: DataFrame, handler: Callable, out: FanOut, sink: str, live_se
 def state_handler(out: FanOut) -> Callable[[DataFrame, int], None]:
     def upsert(batch: DataFrame, batch_id: int) -> None:
         table = SnapshotTable(batch.sparkSession, out.path("fleet_state"))
-        table.update(latest_fleet_state(batch), batch_id, merge_state)
+        table.update(few_tasks(latest_fleet_state(batch)), batch_id, lambda current, changes: few_tasks(merge_state(current, changes)))
 
     return upsert
 

@@ -20,6 +20,7 @@ from tidewatch.operators.zones import geofence_events
 from tidewatch.session import materialize
 from tidewatch.sinks.snapshots import SnapshotTable
 from tidewatch.sinks.tables import read_batches, write_batch
+from tidewatch.streaming.tasks import few_tasks
 
 
 def tumbling_counts(rows: DataFrame, ts: str, key: str, width: str = "5 seconds", watermark: str | None = None) -> DataFrame:
@@ -229,7 +230,7 @@ class LateRows(StreamingQueryListener):
 def drain_append(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a stream over what its source holds into Parquet files, and read them back."""
     query = (
-        stream.writeStream.format("parquet").outputMode("append").option("path", path)
+        few_tasks(stream).writeStream.format("parquet").outputMode("append").option("path", path)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -240,7 +241,7 @@ def drain_complete(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run an aggregating stream over what its source holds; returns its newest full result."""
     table = SnapshotTable(stream.sparkSession, path)
     query = (
-        stream.writeStream.outputMode("complete").foreachBatch(table.replace)
+        few_tasks(stream).writeStream.outputMode("complete").foreachBatch(table.replace)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
