@@ -71,6 +71,25 @@ def test_a_large_group_of_near_copies_is_settled_by_counting(spark, monkeypatch)
     assert sure > 0.5 * pairs[0].filter("NOT visitor_b").count()
 
 
+def test_tasks_hand_on_few_more_rows_than_the_fit_takes(spark, monkeypatch):
+    rows = clustered(8, 900, 6, 0.3)
+    kind, ordered, fitted = type(spark.range(0)), [], []
+    monkeypatch.setattr(op, "SAMPLE", 40)
+    monkeypatch.setattr(kind, "limit", lambda self, n, made=kind.limit: (n == 40 and ordered.append(self.count()), made(self, n))[1])
+    monkeypatch.setattr(op, "spherical_kmeans", lambda given, k, made=op.spherical_kmeans: fitted.append(given) or made(given, k))
+    assert found(op.groups(frame(spark, rows), cell=60, block=25)) == brute(rows)
+    assert len(ordered) == 1 and 40 <= ordered[0] <= 40 + 16 * 40**0.5
+    assert fitted[0].shape == (40, 6) and np.allclose(np.linalg.norm(fitted[0], axis=1), 1)
+
+
+def test_the_fit_takes_the_smallest_nodes(spark, monkeypatch):
+    monkeypatch.setattr(op, "SAMPLE", 30)
+    nodes = spark.range(0, 3000, 1, 16).selectExpr("unhex(concat(lpad(hex(xxhash64(id)), 16, '0'), lpad(hex(id), 16, '0'))) AS node", "array(cast(id + 1 AS float), -2f) AS vector")
+    smallest = sorted((bytes(r.node), r.vector) for r in nodes.collect())[:30]
+    assert np.allclose(op._sample(nodes, 3000), op.unit(np.array([v for _, v in smallest])))
+    assert op._sample(nodes.limit(5), 5).shape == (5, 2)
+
+
 def test_copies_and_ids(spark):
     a, b = [1.0, 2.0, 3.0], [-1.0, 2.0, 0.5]
     rows = [(5, a, 1), (5, a, 1), (3, a, 1), (9, [2.0, 4.0, 6.01], 1), (None, a, 1), (1, a, 2), (7, b, 1), (None, b, 3), (None, b, 3)]

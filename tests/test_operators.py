@@ -103,6 +103,17 @@ def test_lookup_salted_path_equals_broadcast(spark):
         lookup.join_lookup(big, small, ["k"], "full")
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_salted_copies_are_not_broadcast(spark, tmp_path, how):
+    big = spark.range(2000).selectExpr("id % 300 AS k", "id")
+    spark.range(250).selectExpr("id AS k", "id * 2 AS v").write.parquet(str(tmp_path / "lookup"))
+    small = spark.read.parquet(str(tmp_path / "lookup"))
+    joined = lookup.join_lookup(big, small, ["k"], how, max_broadcast_rows=249)
+    got = sorted((r.id, r.k, r.v) for r in joined.collect())
+    assert got == [(i, i % 300, i % 300 * 2 if i % 300 < 250 else None) for i in range(2000) if how == "left" or i % 300 < 250]
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 # --- KPIs
 
 def test_fleet_kpis_labels_and_single_ping(spark):

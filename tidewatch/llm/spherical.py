@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.neardup import components
 from tidewatch.llm.neighbours import usable
-from tidewatch.llm.rowwise import emit
+from tidewatch.llm.rowwise import SLICE_ROWS, emit
 from tidewatch.operators.lookup import join_lookup
 from tidewatch.session import materialize
 
@@ -155,6 +155,21 @@ def _placed(nodes: DataFrame, centroids: np.ndarray, threshold: float) -> DataFr
     return emit(nodes.select("node", "weight", "label", "size", "vector"), kind, make)
 
 
+def _lowest(nodes: DataFrame, held: int) -> DataFrame:
+    """The nodes, `held` in all, whose hashes lie below a bound that leaves the `SAMPLE` smallest and few more.
+
+    To find the smallest, every task hands on `SAMPLE` rows; this keeps all of them together near that number.
+    """
+    share = (SAMPLE + 8 * math.sqrt(SAMPLE)) / held
+    return nodes if share >= 1 else nodes.filter(F.col("node") < F.unhex(F.lit(f"{int(share * 2**64):016x}")))
+
+
+def _sample(nodes: DataFrame, held: int) -> np.ndarray:
+    """Unit vectors of the `SAMPLE` nodes with the smallest hashes, of nodes of one size."""
+    table = _lowest(nodes, held).select("node", "vector").orderBy("node").limit(SAMPLE).toArrow()
+    return np.concatenate([unit(_vectors(batch, 1)) for batch in table.to_batches(SLICE_ROWS) if batch.num_rows])
+
+
 def _entries(nodes: DataFrame, threshold: float, cell: int, cells: int) -> DataFrame:
     """A row for the home of each node and one for every visit; labels that fit a cell have just one, without angles."""
     large = nodes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > cell)
@@ -162,10 +177,9 @@ def _entries(nodes: DataFrame, threshold: float, cell: int, cells: int) -> DataF
     whole = join_lookup(nodes, large, ["label", "size"], "left")
     one = [F.lit(0).alias("number"), F.lit(False).alias("visitor"), F.lit(None).cast("int").alias("step")]
     parts = whole.filter("held IS NULL").select("node", "weight", "label", "size", *one)
-    for row in large.groupBy("size").agg(F.max("held").alias("held")).orderBy("size").collect():
+    for row in large.groupBy("size").agg(F.max("held").alias("held"), F.sum("held").alias("every")).orderBy("size").collect():
         own = whole.filter((F.col("size") == row["size"]) & F.col("held").isNotNull())
-        sample = [r["vector"] for r in own.select("node", "vector").orderBy("node").limit(SAMPLE).collect()]
-        centroids = spherical_kmeans(unit(np.array(sample, np.float64)), min(cells, -(-row["held"] // cell)))
+        centroids = spherical_kmeans(_sample(own, row["every"]), min(cells, -(-row["held"] // cell)))
         parts = parts.union(_placed(own, centroids, threshold))
     return materialize(parts, "entries")
 

@@ -33,6 +33,7 @@ def join_lookup(
     A lookup of checked size is broadcast, so `rows` is not shuffled. A larger one is repeated once per
     salt and joined on key + salt, which spreads each key of `rows` over `salts` tasks. The salt comes
     from the row and the partition it lies in, so copies of one row spread too and retries agree.
+    The planner takes the copies for as small as the lookup's files, hence the hint that keeps it from broadcasting them.
     """
     on = list(on)
     if how not in ("inner", "left"):
@@ -42,4 +43,4 @@ def join_lookup(
     salt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts))
     spread = rows.withColumn("_salt", salt.cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
+    return spread.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
